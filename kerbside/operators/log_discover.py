@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.units import duration_seconds, size_bytes
 from kerbside.operators.log_filters import label
-from kerbside.operators.log_parse import json_fields, logfmt_fields, which_parser
+from kerbside.operators.log_parse import fields_and_parser, which_parser
 
 # Level fields hidden from the field list, and internal labels
 # hidden from the label list.
@@ -52,12 +52,7 @@ def detected_fields(logs: DataFrame, approximate: bool = False) -> DataFrame:
     Every line is tried as JSON, else as logfmt. ``approximate`` estimates the
     number of values in one aggregation per name instead of counting exactly.
     """
-    as_json, as_logfmt = json_fields(F.col("line")), logfmt_fields(F.col("line"))
-    by_parser = F.array(
-        F.struct(F.lit(True).alias("is_json"), as_json.alias("fields")),
-        F.struct(F.lit(False).alias("is_json"), as_logfmt.alias("fields")),
-    )
-    found = F.filter(by_parser, lambda p: F.size(p["fields"]) > 0)[0]
+    found = fields_and_parser(F.col("line"))
     rows = (
         logs.select(found.alias("found"))
         .select("found.is_json", F.explode("found.fields").alias("field", "value"))

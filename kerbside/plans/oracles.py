@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kerbside.operators.profile import ROADS
-from kerbside.plans.queries import DIGITS, FIELD_DIGITS
+from kerbside.plans.queries import DIGITS
 
 _PASSAGE_COLUMNS = """
     CAST(user_id % 4 AS INTEGER) AS highway_id,
@@ -122,9 +122,9 @@ def _document_lines(where: str) -> str:
     return f"SELECT doc_id AS id, source FROM documents WHERE {where}"
 
 
-def _avg(number: str) -> str:
+def _avg(mean: str) -> str:
     return f"""WITH {LOGFMT}
-SELECT date_trunc('hour', ts) AS bucket, round(avg({number}), {FIELD_DIGITS}) AS avg, count(*) AS count
+SELECT date_trunc('hour', ts) AS bucket, {mean} AS avg, count(*) AS count
 FROM logfmt GROUP BY 1"""
 
 
@@ -304,9 +304,9 @@ SELECT * FROM pairs WHERE id NOT IN (SELECT id FROM json_rows)""",
 WHERE bucket + INTERVAL 1 hour <= (SELECT date_trunc('millisecond', max(ts)) FROM events)""",
     "counts_by_field": """SELECT date_trunc('day', ts) AS bucket,
   json_extract_string(props, '$.k') AS value, count(*) AS count FROM events GROUP BY 1, 2""",
-    "avg_field": _avg("cents"),
-    "avg_field_duration": _avg("cents / 1000.0::DOUBLE"),
-    "avg_field_bytes": _avg("cents * 1024"),
+    "avg_field": _avg("avg(cents)"),
+    "avg_field_duration": _avg(f"round(avg(cents / 1000.0::DOUBLE), {DIGITS})"),
+    "avg_field_bytes": _avg("avg(cents * 1024)"),
     "label_volume": """SELECT source AS value, CAST(sum(strlen(text)) AS BIGINT) AS volume FROM documents
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5000""",
     "rollup_counts": _ROLLED,

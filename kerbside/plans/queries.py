@@ -23,8 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Digits kept of means: both engines add doubles in an order of their own.
 DIGITS = 9
-# Means of bytes run to millions, which leaves fewer digits after the point.
-FIELD_DIGITS = 6
 
 QUERIES: dict[str, Query] = {}
 
@@ -55,8 +53,8 @@ def _document_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.document_logs(views.documents(spark, sf_dir))
 
 
-def _rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, DIGITS) for c in columns})
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -477,7 +475,9 @@ def counts_by_field(spark, sf_dir):
 def _avg_query(name: str, field: str, unit: str) -> None:
     def run(spark, sf_dir):
         parsed = log_parse.parse_fields(_logfmt(spark, sf_dir), "logfmt")
-        return _rounded(log_counts.avg_field(parsed, field, "1 hour", unit), "avg", digits=FIELD_DIGITS)
+        means = log_counts.avg_field(parsed, field, "1 hour", unit)
+        # Sums of whole numbers are exact and need no rounding.
+        return _rounded(means, "avg") if unit == "duration" else means
 
     run.__name__ = name
     query(run)
