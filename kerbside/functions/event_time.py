@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two accepted forms of the time text, tried in this order.
-WITH_FRACTION = "yyyy-M-d H:m:s.SSSSSS"
-WHOLE_SECONDS = "yyyy-M-d H:m:s"
+# Fixed value: the accepted forms of the time text, with one to six fraction
+# digits or with none.
+TIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
 
 
 def parse_event_time(text: Column) -> Column:
-    """Timestamp of ``text``, NULL where neither accepted form fits.
+    """Timestamp of ``text``, NULL where it has neither accepted form.
 
-    One to six fraction digits are read; seven or more are malformed. NULL
-    rows belong to :func:`kerbside.operators.quality.split_bad_times`.
+    One pattern stands for trying the form with a fraction and then the one
+    without; the cast alone would accept dates, zones and longer fractions too.
+    NULL rows belong to :func:`kerbside.operators.quality.split_bad_times`.
     """
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit(WITH_FRACTION)),
-        F.try_to_timestamp(text, F.lit(WHOLE_SECONDS)),
-    )
+    return F.when(text.rlike(TIME_TEXT), text.try_cast("timestamp"))
 
 
 def event_ms(time: Column) -> Column:
@@ -32,7 +30,6 @@ def truncate_to_ms(time: Column) -> Column:
 
 
 def format_event_time(time: Column) -> Column:
-    """Text form of a time; the fraction is left out when it is zero."""
-    whole = F.date_format(time, "yyyy-MM-dd HH:mm:ss")
-    full = F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.when(F.unix_micros(time) % 1_000_000 == 0, whole).otherwise(full)
+    """Text form of a time: six fraction digits, or none where they are all zero."""
+    text = time.cast("string")
+    return F.when(F.unix_micros(time) % 1_000_000 == 0, text).otherwise(F.rpad(text, 26, "0"))

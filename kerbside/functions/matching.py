@@ -80,10 +80,15 @@ def match_line(line: Column, op: str, text: str, ignore_case: bool = False) -> C
     raise ValueError(f"unknown line operator {op!r}")
 
 
-def pattern_regex(pattern: str) -> str:
-    """Regular expression of a line pattern: ``<_>`` spans any text."""
-    return "(?s)" + ".*?".join(_quote(part) for part in pattern.split(WILDCARD))
-
-
 def match_pattern(line: Column, pattern: str) -> Column:
-    return line.rlike(pattern_regex(pattern))
+    """The line holds the pattern, in which ``<_>`` spans any text.
+
+    The literal parts have to occur in order. Taking the first occurrence of
+    each is enough, so the groups are atomic and one pass decides.
+    """
+    parts = [part for part in pattern.split(WILDCARD) if part]
+    if not parts:
+        return line.isNotNull()
+    if len(parts) == 1:
+        return line.contains(parts[0])
+    return line.rlike("(?s)^" + "".join(f"(?>.*?{_quote(part)})" for part in parts))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def encode_key(highway_id: Column) -> Column:
     """UTF-8 bytes of the road number's text form."""
-    return F.encode(highway_id.cast("string"), "UTF-8")
+    return highway_id.cast("string").cast("binary")
 
 
 def road_key(key: Column, first_digit_only: bool = False) -> Column:

@@ -39,7 +39,9 @@ def _json_or_null(line: Column) -> Column:
         once = F.when(plain, parsed).otherwise(_first_of_each_name(names, F.map_values(parsed)))
         return F.map_filter(once, lambda _, value: value.isNotNull())
 
-    return _with(F.from_json(line, FIELDS), tidy)
+    # Lines that cannot be an object are not worth a failed parse.
+    parsed = F.when(line.rlike(r"^\s*\{"), F.from_json(line, FIELDS))
+    return _with(parsed, tidy)
 
 
 def json_fields(line: Column) -> Column:

@@ -20,10 +20,10 @@ def bad_row_reason() -> Column:
 
 def split_bad_times(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable rows, quarantined rows with their reason and raw value)."""
-    reason = bad_row_reason()
-    good = decoded.where(reason.isNull())
-    bad = decoded.withColumn("reason", reason).where(F.col("reason").isNotNull())
-    return good, bad.select("road", "value", "reason")
+    bad_row = F.col("timestamp").isNull() | F.col("road").isNull()
+    good = decoded.where(~bad_row)
+    bad = decoded.where(bad_row).select("road", "value", bad_row_reason().alias("reason"))
+    return good, bad
 
 
 def traffic_detailed(decoded: DataFrame) -> DataFrame:

@@ -93,7 +93,7 @@ LOGS = """logs AS (
   FROM events
 )"""
 
-_CENTS = "CAST(round(value * 100) AS BIGINT)"
+_CENTS = "CAST(floor(value * 100 + 0.5) AS BIGINT)"
 LOGFMT = f"""logfmt AS (
   SELECT event_id AS id, ts, event_type AS level, {_CENTS} AS cents, user_id,
     'level=' || event_type || ' cents=' || {_CENTS} || ' took=' || {_CENTS} || 'ms size='

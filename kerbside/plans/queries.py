@@ -11,7 +11,7 @@ from kerbside.functions import event_time, road
 from kerbside.operators import basics, profile, quality, replay, trailing
 from kerbside.operators import log_counts, log_discover, log_filters, log_parse
 from kerbside.plans import views
-from kerbside.schema import AVERAGES, PASSAGES
+from kerbside.schema import AVERAGES, PASSAGES, RAW_PASSAGES
 from kerbside.session import configure, shared_dir
 from kerbside.sources import passages as passage_files
 from kerbside.sources import records, tables
@@ -70,19 +70,8 @@ def scan_passages(spark, sf_dir):
 @query
 def encode_records(spark, sf_dir):
     sent = records.encode_records(views.passages_at_source(views.events(spark, sf_dir)))
-    body = F.col("value").cast("string")
-
-    def member(name):
-        return F.get_json_object(body, f"$.{name}")
-
-    return sent.select(
-        F.col("key").cast("string").alias("key"),
-        member("timestamp").alias("timestamp"),
-        member("highway_id").cast("int").alias("highway_id"),
-        member("plate").alias("plate"),
-        member("speed").cast("double").alias("speed"),
-        member("ev").cast("boolean").alias("ev"),
-    )
+    body = F.from_json(F.col("value").cast("string"), RAW_PASSAGES)
+    return sent.select(F.col("key").cast("string").alias("key"), F.inline(F.array(body)))
 
 
 @query

@@ -82,7 +82,7 @@ def logs(events: DataFrame, line: Column | None = None) -> DataFrame:
 
 def logfmt_logs(events: DataFrame) -> DataFrame:
     """Log rows with a logfmt line, values in cents so that no float is formatted."""
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = F.floor(F.col("value") * 100 + 0.5)
     line = F.concat(
         F.lit("level="),
         F.col("event_type"),

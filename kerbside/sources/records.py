@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.event_time import format_event_time, parse_event_time
+from kerbside.functions.event_time import format_event_time, parse_event_time, truncate_to_ms
 from kerbside.functions.road import encode_key, road_key
 from kerbside.schema import DETAIL_COLUMNS, RAW_PASSAGES, RECORDS
 
@@ -21,7 +21,7 @@ def encode_records(passages: DataFrame) -> DataFrame:
     )
     return text.select(
         encode_key(F.col("highway_id")).alias("key"),
-        F.encode(value, "UTF-8").alias("value"),
+        value.cast("binary").alias("value"),
     )
 
 
@@ -33,17 +33,15 @@ def decode_records(records: DataFrame, first_digit_only: bool = False) -> DataFr
     NULL ``timestamp`` and go to :func:`kerbside.operators.quality.split_bad_times`.
     """
     body = F.from_json(F.col("value").cast("string"), RAW_PASSAGES, {"mode": "PERMISSIVE"})
-    return (
-        records.select("key", "value", body.alias("body"))
-        .select(
-            road_key(F.col("key"), first_digit_only).alias("road"),
-            F.timestamp_millis(
-                F.unix_millis(parse_event_time(F.col("body.timestamp")))
-            ).alias("timestamp"),
-            F.col("body.timestamp").alias("time_text"),
-            *[F.col(f"body.{c}") for c in DETAIL_COLUMNS[1:]],
-            F.col("value").cast("string").alias("value"),
-        )
+    # Unfolding the one-element array makes the parsed members columns of their
+    # own, so that filters on them do not parse the value again.
+    members = records.select("key", "value", F.inline(F.array(body)))
+    return members.select(
+        road_key(F.col("key"), first_digit_only).alias("road"),
+        truncate_to_ms(parse_event_time(F.col("timestamp"))).alias("timestamp"),
+        F.col("timestamp").alias("time_text"),
+        *DETAIL_COLUMNS[1:],
+        F.col("value").cast("string").alias("value"),
     )
 
 

@@ -22,10 +22,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -41,86 +39,71 @@ _OUTPUT = "highway_id string, event_ms bigint, s double, c bigint"
 
 
 class HeadAndTail(StatefulProcessor):
-    """State of one (road, block): running total of the head, rows of the tail."""
+    """State of one (road, block): what earlier batches brought, as a list.
+
+    An entry holds either tail rows or the total of one batch's head rows.
+    Entries are only ever appended, so a batch costs one read and short writes.
+    """
 
     def __init__(self, window_ms: int):
         self.window_ms = window_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.head = handle.getValueState("head", "s double, c bigint")
-        self.tail = handle.getListState("tail", "pos array<bigint>, s array<double>, c array<bigint>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        is_tail = batch["tail"].to_numpy() == 1
-        block_end = (key[1] + 1) * self.window_ms
-        more_to_come = timerValues.getCurrentWatermarkInMs() < block_end - 1
-
-        arrived = batch[is_tail]
-        if len(arrived) and more_to_come:
-            self.tail.appendValue(
-                (arrived["pos"].tolist(), arrived["s"].tolist(), arrived["c"].tolist())
-            )
-        own = batch[~is_tail].sort_values("pos")
-        if len(own):
-            yield self._means(key[0], own, arrived, more_to_come)
-        if more_to_come:
-            self.handle.registerTimer(block_end)
-
-    def _means(self, road: str, own: pd.DataFrame, arrived: pd.DataFrame, more_to_come: bool):
-        chunks = list(self.tail.get())
-        if not more_to_come and len(arrived):
-            chunks.append((arrived["pos"], arrived["s"], arrived["c"]))
-        pos, s, c = _joined(chunks)
-        order = np.argsort(pos, kind="stable")
-        pos = pos[order]
-        # Entry i: totals of the tail rows from the i-th on.
-        tail_s = np.append(np.cumsum(s[order][::-1])[::-1], 0.0)
-        tail_c = np.append(np.cumsum(c[order][::-1])[::-1], 0)
-
-        before = self.head.get() or (0.0, 0)
-        head_s = before[0] + np.cumsum(own["s"].to_numpy(dtype=float))
-        head_c = before[1] + np.cumsum(own["c"].to_numpy(dtype=np.int64))
-        if more_to_come:
-            self.head.update((float(head_s[-1]), int(head_c[-1])))
-
-        first = np.searchsorted(pos, own["pos"].to_numpy(), side="left")
-        return pd.DataFrame(
-            {
-                "highway_id": road,
-                "event_ms": own["pos"].to_numpy(),
-                "s": head_s + tail_s[first],
-                "c": head_c + tail_c[first],
-            }
+        self.parts = handle.getListState(
+            "parts", "tail boolean, pos array<bigint>, s array<double>, c array<bigint>"
         )
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.head.clear()
-        self.tail.clear()
-        yield pd.DataFrame(
-            {
-                "highway_id": pd.Series(dtype=str),
-                "event_ms": pd.Series(dtype="int64"),
-                "s": pd.Series(dtype=float),
-                "c": pd.Series(dtype="int64"),
-            }
-        )
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        road, block = key
+        block_end = (block + 1) * self.window_ms
+        own, arrived = [], []
+        for row in rows:
+            (arrived if row.tail else own).append((row.pos, row.s, row.c))
+        if own:
+            yield from self._means(road, sorted(own), arrived)
+        # Milliseconds up to the watermark have all been delivered.
+        if timerValues.getCurrentWatermarkInMs() < block_end - 1:
+            if arrived:
+                self.parts.appendValue((True, *(list(column) for column in zip(*arrived))))
+            if own:
+                total_s, total_c = sum(s for _, s, _ in own), sum(c for _, _, c in own)
+                self.parts.appendValue((False, [block_end], [total_s], [total_c]))
+            self.handle.registerTimer(block_end)
+
+    def _means(self, road: str, own: list, arrived: list) -> Iterator[Row]:
+        """Sum and count of the window of each own row, the newest window first.
+
+        Going back in time the head shrinks and the tail grows: the head is a
+        prefix sum and the tail is summed up on the way.
+        """
+        head_s, head_c, tail = 0.0, 0, arrived
+        for is_tail, *columns in self.parts.get():
+            if is_tail:
+                tail = tail + list(zip(*columns))
+            else:
+                head_s, head_c = head_s + columns[1][0], head_c + columns[2][0]
+        heads = []
+        for pos, s, c in own:
+            head_s, head_c = head_s + s, head_c + c
+            heads.append((pos, head_s, head_c))
+
+        tail = sorted(tail)
+        tail_s, tail_c = 0.0, 0
+        for pos, head_s, head_c in reversed(heads):
+            while tail and tail[-1][0] >= pos:
+                _, s, c = tail.pop()
+                tail_s, tail_c = tail_s + s, tail_c + c
+            yield Row(highway_id=road, event_ms=pos, s=head_s + tail_s, c=head_c + tail_c)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.parts.clear()
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
-def _joined(chunks: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    types = (np.int64, float, np.int64)
-    if not chunks:
-        return tuple(np.empty(0, dtype=t) for t in types)
-    return tuple(
-        np.concatenate([np.asarray(chunk[i], dtype=t) for chunk in chunks])
-        for i, t in enumerate(types)
-    )
-
-
 def trailing_mean_stream(
     passages: DataFrame,
     window_ms: int = WINDOW_MS,
@@ -147,8 +130,9 @@ def trailing_mean_stream(
     )
     means = (
         place_in_blocks(per_ms, window_ms, include_start)
+        .select("highway_id", "block", "tail", "pos", "s", "c")
         .groupBy("highway_id", "block")
-        .transformWithStateInPandas(
+        .transformWithState(
             HeadAndTail(window_ms),
             outputStructType=_OUTPUT,
             outputMode="append",
