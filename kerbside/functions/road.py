@@ -19,3 +19,8 @@ def road_key(key: Column, first_digit_only: bool = False) -> Column:
     """
     text = key.cast("string")
     return F.substring(text, 1, 1) if first_digit_only else text
+
+
+def rounded_speed(speed: Column) -> Column:
+    """Speed to the three places that passages carry."""
+    return F.round(speed, 3)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +44,7 @@ def rule_table(spark: SparkSession) -> DataFrame:
 def hourly_profile(rules: DataFrame) -> DataFrame:
     """Expected rate and speed per road and hour of day: the first rule that holds.
 
-    Rules are spelled out to the hours they cover, so looking one up is an
-    equality join on (road, hour) against 24 rows per road.
+    Rules are spelled out to the hours they cover: 24 rows per road.
     """
     hour = F.col("hour")
     ordinary = (F.col("from_h") <= hour) & (hour < F.col("to_h"))
@@ -67,29 +66,48 @@ def hourly_profile(rules: DataFrame) -> DataFrame:
     )
 
 
-def minute_spine(roads: DataFrame, passages: DataFrame) -> DataFrame:
-    """Every minute of every day the passages span, for every road.
+def _on_every_day(rows: DataFrame, passages: DataFrame) -> DataFrame:
+    """Each row once for every day the passages span, as ``day``.
 
-    The span is two scalar subqueries; days are unfolded before minutes so
-    that the rows can spread over tasks by (road, day).
+    The span is two scalar subqueries. What follows unfolds a day to its
+    minutes, so the rows are dealt out by (road, day) first; the number of
+    partitions is given, because adaptive execution would judge by the small
+    size before the unfolding.
     """
     first = passages.agg(F.min(F.to_date("timestamp")).alias("d")).scalar()
     last = passages.agg(F.max(F.to_date("timestamp")).alias("d")).scalar()
-    days = roads.select("highway_id").distinct().withColumn(
-        "day", F.explode(F.sequence(first, last, F.expr("interval 1 day")))
-    )
-    start = F.col("day").cast("timestamp")
-    end = start + F.expr("interval 23 hours 59 minutes")
-    return days.select(
-        "highway_id",
-        F.explode(F.sequence(start, end, F.expr("interval 1 minute"))).alias("minute"),
-    )
+    days = F.explode(F.sequence(first, last, F.expr("interval 1 day")))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("day", days).repartition(tasks, "highway_id", "day")
+
+
+def _minutes(start: Column, count: int) -> Column:
+    last = start + F.expr(f"interval {count - 1} minutes")
+    return F.explode(F.sequence(start, last, F.expr("interval 1 minute")))
+
+
+def minute_spine(roads: DataFrame, passages: DataFrame) -> DataFrame:
+    """Every minute of every day the passages span, for every road."""
+    days = _on_every_day(roads.select("highway_id").distinct(), passages)
+    return days.select("highway_id", _minutes(F.col("day").cast("timestamp"), 1440).alias("minute"))
+
 
+def expected_profile(rules: DataFrame, passages: DataFrame) -> DataFrame:
+    """Expected cars per minute and speed for every road and minute of the spine.
 
-def expected_profile(spine: DataFrame, rules: DataFrame) -> DataFrame:
-    """Expected cars per minute and speed for each row of the spine."""
-    keyed = spine.withColumn("hour", F.hour("minute"))
-    return keyed.join(hourly_profile(rules), ["highway_id", "hour"]).drop("hour")
+    Each hour's rule is unfolded to the 60 minutes it holds for, which gives
+    the rows of the spine with their rule, without a join.
+    """
+    hours = _on_every_day(hourly_profile(rules), passages)
+    start = F.col("day").cast("timestamp") + F.make_dt_interval(hours=F.col("hour"))
+    return hours.select(
+        "highway_id",
+        _minutes(start, 60).alias("minute"),
+        "name",
+        "ev_rate",
+        "base_rate",
+        "expected_speed",
+    )
 
 
 def minute_totals(passages: DataFrame) -> DataFrame:
@@ -111,13 +129,13 @@ def volume_per_minute(passages: DataFrame, spine: DataFrame) -> DataFrame:
     )
 
 
-def profile_deviation(passages: DataFrame, spine: DataFrame, rules: DataFrame) -> DataFrame:
+def profile_deviation(passages: DataFrame, rules: DataFrame) -> DataFrame:
     """Observed against expected per road and minute.
 
     Deviations are observed minus expected. A minute without passages counts
     as 0 cars and has no speed or share to compare.
     """
-    expected = expected_profile(spine, rules)
+    expected = expected_profile(rules, passages)
     observed = minute_totals(passages)
     cars = F.coalesce("cars", F.lit(0))
     return expected.join(observed, ["highway_id", "minute"], "left").select(

@@ -40,15 +40,19 @@ def event_gap(passages: DataFrame, speed_factor: float = SPEED_FACTOR) -> DataFr
         F.max("timestamp").alias("last")
     )
     carried = hours.select(
-        "highway_id",
-        "hour",
+        F.col("highway_id").alias("road"),
+        F.col("hour").alias("held_hour"),
         F.lag("last").over(Window.partitionBy("highway_id").orderBy("hour")).alias("carried"),
     )
     previous = F.coalesce(F.col("lagged"), F.col("carried"), F.col("timestamp"))
     gap_us = F.unix_micros("timestamp") - F.unix_micros(previous)
     return (
         instants.withColumn("lagged", F.lag("timestamp").over(inside))
-        .join(carried, ["highway_id", "hour"])
+        .join(
+            carried,
+            F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("hour") == F.col("held_hour")),
+            "left",
+        )
         .select(
             "highway_id",
             "timestamp",

@@ -94,10 +94,11 @@ def trailing_mean(
     ).where("tail = 0")
     total, count = F.col("head_s") + F.col("tail_s"), F.col("head_c") + F.col("tail_c")
     if closed_only:
-        newest = passages.groupBy(F.col(key).cast("string").alias("highway_id")).agg(
+        newest = passages.groupBy(F.col(key).cast("string").alias("road")).agg(
             F.max(F.unix_millis("timestamp")).alias("newest_ms")
         )
-        summed = summed.join(newest, "highway_id").where(F.col("event_ms") < F.col("newest_ms"))
+        closed = F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("event_ms") < F.col("newest_ms"))
+        summed = summed.join(newest, closed)
     return summed.select(*_as_rows(F.try_divide(total, count), window_ms))
 
 

@@ -195,6 +195,9 @@ FROM passages GROUP BY 2""",
     "schema_evolve": f"""WITH {PASSAGES}
 SELECT "timestamp", highway_id, plate, speed,
   CASE WHEN "timestamp" >= TIMESTAMP '2024-01-16' THEN ev END AS ev FROM passages""",
+    "traffic_averages": f"""WITH {PASSAGES}, {_means()}
+SELECT avg_speed, window_start AS window_start_ms, window_end AS window_end_ms,
+  left(highway_id, 1) AS new_keys FROM means""",
     "summary_table": f"""WITH {PASSAGES}, {_means()}
 SELECT window_start AS "start", window_end AS "end", avg_speed FROM means""",
     # projections, order, time

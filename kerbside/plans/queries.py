@@ -133,6 +133,15 @@ def schema_evolve(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query
+def traffic_averages(spark, sf_dir):
+    """The deployed table: keyed by the first digit of the road, under its own names."""
+    sent = records.encode_records(views.passages_at_source(views.events(spark, sf_dir)))
+    good, _ = quality.split_bad_times(records.decode_records(sent, first_digit_only=True))
+    means = trailing.trailing_mean(good, key="road")
+    return _rounded(tables.source_names(means), "avg_speed")
+
+
 @query
 def summary_table(spark, sf_dir):
     means = trailing.trailing_mean(_passages(spark, sf_dir))
@@ -273,7 +282,7 @@ def minute_spine(spark, sf_dir):
 
 @query
 def expected_profile(spark, sf_dir):
-    return profile.expected_profile(_spine(spark, sf_dir), profile.rule_table(spark))
+    return profile.expected_profile(profile.rule_table(spark), _passages(spark, sf_dir))
 
 
 @query
@@ -283,9 +292,7 @@ def volume_per_minute(spark, sf_dir):
 
 @query
 def profile_deviation(spark, sf_dir):
-    compared = profile.profile_deviation(
-        _passages(spark, sf_dir), _spine(spark, sf_dir), profile.rule_table(spark)
-    )
+    compared = profile.profile_deviation(_passages(spark, sf_dir), profile.rule_table(spark))
     return _rounded(compared, "avg_speed", "speed_deviation", "ev_share", "ev_deviation")
 
 

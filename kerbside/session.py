@@ -17,10 +17,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
     Times are exchanged as text without a zone, so the session zone decides
     what instant they mean; it is UTC everywhere. Shuffle sizing is left to
-    adaptive execution and to the cluster's own settings.
+    adaptive execution and to the cluster's own settings. Streaming state is
+    kept in RocksDB, off the heap.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return spark
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.event_time import format_event_time, parse_event_time, truncate_to_ms
@@ -25,20 +25,26 @@ def encode_records(passages: DataFrame) -> DataFrame:
     )
 
 
-def decode_records(records: DataFrame, first_digit_only: bool = False) -> DataFrame:
+def decode_records(
+    records: DataFrame, first_digit_only: bool = False, event_time: Column | None = None
+) -> DataFrame:
     """Passages of a record stream plus the key and the untouched value.
 
     ``timestamp`` is parsed to a time cut to milliseconds; the text it came
     from stays in ``time_text``. Nothing is dropped here: malformed rows have a
     NULL ``timestamp`` and go to :func:`kerbside.operators.quality.split_bad_times`.
+    ``event_time`` is a timestamp expression over the record's members, for
+    records that carry their time in another way.
     """
+    if event_time is None:
+        event_time = parse_event_time(F.col("timestamp"))
     body = F.from_json(F.col("value").cast("string"), RAW_PASSAGES, {"mode": "PERMISSIVE"})
     # Unfolding the one-element array makes the parsed members columns of their
     # own, so that filters on them do not parse the value again.
     members = records.select("key", "value", F.inline(F.array(body)))
     return members.select(
         road_key(F.col("key"), first_digit_only).alias("road"),
-        truncate_to_ms(parse_event_time(F.col("timestamp"))).alias("timestamp"),
+        truncate_to_ms(event_time).alias("timestamp"),
         F.col("timestamp").alias("time_text"),
         *DETAIL_COLUMNS[1:],
         F.col("value").cast("string").alias("value"),

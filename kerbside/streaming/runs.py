@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,13 +42,17 @@ def start_outputs(
     checkpoints: str,
     watermark_delay: str = "0 seconds",
     interval: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[StreamingQuery]:
     """Fork one decoded record stream to the detail, averages and quarantine tables.
 
     Each output is a query of its own with its own progress, so a slow or
     failing sink does not hold back the others. Means are per record key.
+    ``transform`` is applied to the usable rows before both tables.
     """
     good, bad = split_bad_times(decoded)
+    if transform is not None:
+        good = good.transform(transform)
     outputs = {
         DETAIL_TABLE: traffic_detailed(good),
         AVERAGES_TABLE: trailing_mean_stream(good, watermark_delay=watermark_delay, key="road"),

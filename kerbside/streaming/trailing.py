@@ -4,8 +4,9 @@ Two stateful steps follow each other:
 
 1. ``groupBy(road, millisecond)`` in append mode sums the speeds of each
    millisecond and hands a sum on, once, when the watermark has passed it.
-   Its state is spread by (road, millisecond), so a busy road uses all tasks,
-   and late rows are dropped and counted here.
+   Its state is spread by (road, millisecond), so a busy road uses all tasks.
+   Late rows are dropped and counted here; a row is late when it is not newer
+   than the watermark the previous micro-batch ran with.
 2. A keyed processor joins the head of a block to the tail of the block before
    it, as :func:`kerbside.operators.trailing.trailing_mean` does. Its key is
    (road, block); a key sees at most ``window_ms`` distinct milliseconds of
