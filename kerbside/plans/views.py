@@ -20,6 +20,15 @@ EVENTS = T.StructType(
     ]
 )
 
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+    ]
+)
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
@@ -32,7 +41,7 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
 def passages_at_source(events: DataFrame, letters: int = 22) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 DETAIL_TABLE = "traffic_detailed"
 AVERAGES_TABLE = "traffic_averages"
 
+QUARANTINE_TABLE = "quarantine"
+
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     """Write one micro-batch; the same ``batch_id`` replaces its earlier output."""

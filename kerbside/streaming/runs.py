@@ -8,32 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.operators.quality import split_bad_times, traffic_detailed
-from kerbside.sources.tables import AVERAGES_TABLE, DETAIL_TABLE, batch_writer
+from kerbside.sources.tables import (
+    AVERAGES_TABLE,
+    DETAIL_TABLE,
+    QUARANTINE_TABLE,
+    batch_writer,
+    write_batch,
+)
 from kerbside.streaming.trailing import trailing_mean_stream
 
 
+def _start(
+    df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None
+) -> StreamingQuery:
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(sink)
+    if interval is not None:
+        return writer.trigger(processingTime=interval).start()
+    return writer.trigger(availableNow=True).start()
+
+
 def write_stream(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    name: str | None = None,
-    interval: str | None = None,
+    df: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Write a stream to the table at ``path``, batch by batch.
 
     With ``interval`` the query runs on; without it it takes what is there and
     stops. Progress is kept in ``checkpoint``, which must be a shared folder.
     """
-    writer = (
-        df.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(path))
-    )
-    if name is not None:
-        writer = writer.queryName(name)
-    if interval is not None:
-        return writer.trigger(processingTime=interval).start()
-    return writer.trigger(availableNow=True).start()
+    return _start(df, batch_writer(path), checkpoint, interval)
 
 
 def start_outputs(
@@ -46,21 +49,30 @@ def start_outputs(
 ) -> list[StreamingQuery]:
     """Fork one decoded record stream to the detail, averages and quarantine tables.
 
-    Each output is a query of its own with its own progress, so a slow or
-    failing sink does not hold back the others. Means are per record key.
+    Two queries with their own progress: the stateless one writes each batch's
+    usable and quarantined rows, the stateful one the means per record key.
     ``transform`` is applied to the usable rows before both tables.
     """
-    good, bad = split_bad_times(decoded)
-    if transform is not None:
-        good = good.transform(transform)
-    outputs = {
-        DETAIL_TABLE: traffic_detailed(good),
-        AVERAGES_TABLE: trailing_mean_stream(good, watermark_delay=watermark_delay, key="road"),
-        "quarantine": bad,
+    alter = transform or (lambda rows: rows)
+
+    def write_rows(df: DataFrame, batch_id: int) -> None:
+        batch = df.persist()
+        try:
+            good, bad = split_bad_times(batch)
+            write_batch(traffic_detailed(alter(good)), f"{tables}/{DETAIL_TABLE}", batch_id)
+            write_batch(bad, f"{tables}/{QUARANTINE_TABLE}", batch_id)
+        finally:
+            batch.unpersist()
+
+    means = trailing_mean_stream(
+        alter(split_bad_times(decoded)[0]), watermark_delay=watermark_delay, key="road"
+    )
+    sinks = {
+        DETAIL_TABLE: (decoded, write_rows),
+        AVERAGES_TABLE: (means, batch_writer(f"{tables}/{AVERAGES_TABLE}")),
     }
     return [
-        write_stream(df, f"{tables}/{name}", f"{checkpoints}/{name}", interval=interval)
-        for name, df in outputs.items()
+        _start(df, sink, f"{checkpoints}/{name}", interval) for name, (df, sink) in sinks.items()
     ]
 
 

@@ -78,18 +78,18 @@ class HeadAndTail(StatefulProcessor):
         Going back in time the head shrinks and the tail grows: the head is a
         prefix sum and the tail is summed up on the way.
         """
-        head_s, head_c, tail = 0.0, 0, arrived
+        head_s, head_c, tail, heads = 0.0, 0, [], []
         for is_tail, *columns in self.parts.get():
             if is_tail:
-                tail = tail + list(zip(*columns))
+                tail.extend(zip(*columns))
             else:
                 head_s, head_c = head_s + columns[1][0], head_c + columns[2][0]
-        heads = []
+        tail.extend(arrived)
+        tail.sort()
         for pos, s, c in own:
             head_s, head_c = head_s + s, head_c + c
             heads.append((pos, head_s, head_c))
 
-        tail = sorted(tail)
         tail_s, tail_c = 0.0, 0
         for pos, head_s, head_c in reversed(heads):
             while tail and tail[-1][0] >= pos:

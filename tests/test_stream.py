@@ -1,5 +1,6 @@
 """The streamed operators: equal to batch, late rows, restarts, replays."""
 
+import json
 import os
 import tempfile
 from datetime import datetime, timedelta
@@ -9,10 +10,11 @@ import pytest
 from kerbside.operators.log_counts import counts_by_label
 from kerbside.operators.trailing import trailing_mean
 from kerbside.plans import views
-from kerbside.schema import AVERAGES, LOGS, PASSAGES
+from kerbside.schema import AVERAGES, LOGS, PASSAGES, RECORDS
+from kerbside.sources.records import decode_records, read_record_files
 from kerbside.sources.tables import batch_writer, read_table
 from kerbside.streaming.counts import counts_by_label_stream
-from kerbside.streaming.runs import finish, write_stream
+from kerbside.streaming.runs import finish, start_outputs, write_stream
 from kerbside.streaming.trailing import trailing_mean_stream
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -116,6 +118,33 @@ def test_failed_batch_is_replayed_without_duplicates(spark, folder):
     assert stored(spark, folder) == in_batch(spark, [row for rows in SLICES for row in rows])
 
 
+def test_fork_writes_detail_averages_and_quarantine(spark, folder):
+    def record(key, time, speed):
+        body = {"timestamp": time, "highway_id": key, "plate": "A-B 001", "speed": speed, "ev": False}
+        return str(key).encode(), json.dumps(body).encode()
+
+    sent = [
+        record(12, "2025-01-31 12:00:00", 10.0),
+        record(12, "2025-01-31 12:10:00.5", 20.0),
+        record(12, "junk", 99.0),
+        record(1, "2025-01-31 12:00:00", 30.0),
+    ]
+    spark.createDataFrame(sent, RECORDS).write.parquet(f"{folder}/records")
+    decoded = decode_records(read_record_files(spark, f"{folder}/records"))
+
+    def faster(rows):
+        return rows.withColumn("speed", rows.speed + 1)
+
+    tables = f"{folder}/tables"
+    finish(start_outputs(decoded, tables, f"{folder}/checkpoints", transform=faster))
+    detail = read_table(spark, f"{tables}/traffic_detailed").collect()
+    assert sorted((r.highway_id, r.speed) for r in detail) == [(1, 31.0), (12, 11.0), (12, 21.0)]
+    means = read_table(spark, f"{tables}/traffic_averages", AVERAGES).collect()
+    assert sorted((r.highway_id, r.avg_speed) for r in means) == [("1", 31.0), ("12", 11.0), ("12", 16.0)]
+    bad = read_table(spark, f"{tables}/quarantine").collect()
+    assert [(r.road, r.reason) for r in bad] == [("12", "malformed time")]
+
+
 def test_counts_close_bucket_by_bucket(spark, folder):
     events = views.events(spark, SF_DIR)
     logs = views.logs(events)
