@@ -26,6 +26,14 @@ def folder():
     return tempfile.mkdtemp(prefix="run-")
 
 
+@pytest.fixture(autouse=True)
+def few_state_stores(spark):
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", tasks)
+
+
 def add_file(spark, folder, rows, number):
     """One more file of (road, seconds after T0, speed), in a fixed order of arrival."""
     full = [(T0 + timedelta(seconds=s), road, "A-B 001", speed, False) for road, s, speed in rows]
