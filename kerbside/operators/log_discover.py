@@ -24,11 +24,15 @@ INTERNAL_LABELS = ["__aggregated_metric__", "__stream_shard__"]
 VALUES_LIMIT = 1000
 
 
+# Fixed value: decimal and exponent forms of a number.
+FLOAT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+
+
 def value_kind(value: Column) -> Column:
     """Kind of one text value: int, float, boolean, duration, bytes or string."""
     return (
         F.when(value.rlike(r"^[+-]?\d+$"), "int")
-        .when(value.try_cast("double").isNotNull(), "float")
+        .when(value.rlike(FLOAT), "float")
         .when(F.lower(value).isin("true", "false"), "boolean")
         .when(duration_seconds(value).isNotNull(), "duration")
         .when(size_bytes(value).isNotNull(), "bytes")

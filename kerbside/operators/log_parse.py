@@ -87,6 +87,16 @@ def parse_fields(logs: DataFrame, parser: str) -> DataFrame:
     return logs.withColumn("fields", PARSERS[parser](F.col("line")))
 
 
+def explode_fields(parsed: DataFrame, *keep: str) -> DataFrame:
+    """One row per field and value, with the columns ``keep``.
+
+    The outer form is used and emptied afterwards, because the plain form makes
+    the optimizer test the map's size below, which parses every line twice.
+    """
+    pairs = parsed.select(*keep, F.explode_outer("fields").alias("field", "value"))
+    return pairs.where(F.col("field").isNotNull())
+
+
 def fields_and_parser(line: Column) -> Column:
     """Struct of the fields and whether JSON gave them; NULL for a line without fields."""
 

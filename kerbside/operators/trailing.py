@@ -22,7 +22,7 @@ def per_millisecond(passages: DataFrame, key: str = "highway_id") -> DataFrame:
     road has, at most 1000 rows per second of event time go on from here.
     """
     return passages.groupBy(
-        F.col(key).cast("string").alias("highway_id"),
+        F.col(key).alias("highway_id"),
         F.unix_millis("timestamp").alias("event_ms"),
     ).agg(F.sum("speed").alias("s"), F.count("speed").alias("c"))
 
@@ -46,12 +46,12 @@ def place_in_blocks(per_ms: DataFrame, window_ms: int, include_start: bool = Tru
     )
 
 
-def _as_rows(mean: Column, window_ms: int) -> list[Column]:
+def _as_rows(mean: Column, end_ms: Column, window_ms: int) -> list[Column]:
     return [
-        F.col("highway_id"),
+        F.col("highway_id").cast("string").alias("highway_id"),
         mean.alias("avg_speed"),
-        F.timestamp_millis(F.col("event_ms") - window_ms).alias("window_start"),
-        F.timestamp_millis(F.col("event_ms")).alias("window_end"),
+        F.timestamp_millis(end_ms - window_ms).alias("window_start"),
+        F.timestamp_millis(end_ms).alias("window_end"),
     ]
 
 
@@ -74,32 +74,35 @@ def trailing_mean(
     ``closed_only`` leaves out each road's newest window, which a stream has
     not yet closed.
     """
-    placed = place_in_blocks(per_millisecond(passages, key), window_ms, include_start)
+    is_tail = F.col("tail") == 1
+    # Only what the windows need is shuffled; a head row is known by its count.
+    placed = place_in_blocks(per_millisecond(passages, key), window_ms, include_start).select(
+        "highway_id",
+        "block",
+        "pos",
+        F.when(~is_tail, F.col("s")).alias("head_s"),
+        F.when(~is_tail, F.col("c")).alias("head_c"),
+        F.when(is_tail, F.col("s")).alias("tail_s"),
+        F.when(is_tail, F.col("c")).alias("tail_c"),
+    )
     block = Window.partitionBy("highway_id", "block")
     head = block.orderBy(F.col("pos").asc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     tail = block.orderBy(F.col("pos").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def part(column: str, is_tail: int, frame) -> Column:
-        held = F.when(F.col("tail") == is_tail, F.col(column))
-        return F.coalesce(F.sum(held).over(frame), F.lit(0).cast("double"))
+    def both(measure: str) -> Column:
+        parts = [F.sum(f"head_{measure}").over(head), F.sum(f"tail_{measure}").over(tail)]
+        return F.coalesce(parts[0], F.lit(0)) + F.coalesce(parts[1], F.lit(0))
 
     summed = placed.select(
-        "highway_id",
-        "event_ms",
-        "tail",
-        part("s", 0, head).alias("head_s"),
-        part("c", 0, head).alias("head_c"),
-        part("s", 1, tail).alias("tail_s"),
-        part("c", 1, tail).alias("tail_c"),
-    ).where("tail = 0")
-    total, count = F.col("head_s") + F.col("tail_s"), F.col("head_c") + F.col("tail_c")
+        "highway_id", "pos", "head_c", both("s").alias("total"), both("c").alias("count")
+    ).where("head_c IS NOT NULL")
     if closed_only:
-        newest = passages.groupBy(F.col(key).cast("string").alias("road")).agg(
+        newest = passages.groupBy(F.col(key).alias("road")).agg(
             F.max(F.unix_millis("timestamp")).alias("newest_ms")
         )
-        closed = F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("event_ms") < F.col("newest_ms"))
+        closed = F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("pos") < F.col("newest_ms"))
         summed = summed.join(newest, closed)
-    return summed.select(*_as_rows(F.try_divide(total, count), window_ms))
+    return summed.select(*_as_rows(F.try_divide("total", "count"), F.col("pos"), window_ms))
 
 
 def trailing_mean_direct(
@@ -113,4 +116,4 @@ def trailing_mean_direct(
     first = -window_ms if include_start else 1 - window_ms
     w = Window.partitionBy("highway_id").orderBy("event_ms").rangeBetween(first, 0)
     mean = F.try_divide(F.sum("s").over(w), F.sum("c").over(w))
-    return per_millisecond(passages).select(*_as_rows(mean, window_ms))
+    return per_millisecond(passages).select(*_as_rows(mean, F.col("event_ms"), window_ms))

@@ -413,18 +413,14 @@ def log_lines_oldest(spark, sf_dir):
 # --- log parsing -------------------------------------------------------------
 
 
-def _exploded(parsed: DataFrame) -> DataFrame:
-    return parsed.select("id", F.explode("fields").alias("field", "value"))
-
-
 @query
 def parse_json_fields(spark, sf_dir):
-    return _exploded(log_parse.parse_fields(_logs(spark, sf_dir), "json"))
+    return log_parse.explode_fields(log_parse.parse_fields(_logs(spark, sf_dir), "json"), "id")
 
 
 @query
 def parse_logfmt_fields(spark, sf_dir):
-    return _exploded(log_parse.parse_fields(_logfmt(spark, sf_dir), "logfmt"))
+    return log_parse.explode_fields(log_parse.parse_fields(_logfmt(spark, sf_dir), "logfmt"), "id")
 
 
 def _both_kinds(spark, sf_dir):
@@ -437,7 +433,7 @@ def _both_kinds(spark, sf_dir):
 
 @query
 def parse_mixed_fields(spark, sf_dir):
-    return _exploded(log_parse.parse_fields(_both_kinds(spark, sf_dir), "mixed"))
+    return log_parse.explode_fields(log_parse.parse_fields(_both_kinds(spark, sf_dir), "mixed"), "id")
 
 
 # --- log counts --------------------------------------------------------------

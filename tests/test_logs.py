@@ -164,7 +164,11 @@ def test_field_counts_and_means_leave_other_lines_out(spark):
 
 def test_line_is_parsed_once_for_means_and_counts(spark):
     parsed = parse.parse_fields(views.logs(views.events(spark, SF_DIR)), "json")
-    for df in (counts.counts_by_field(parsed, "k", "1 day"), counts.avg_field(parsed, "k", "1 day")):
+    for df in (
+        counts.counts_by_field(parsed, "k", "1 day"),
+        counts.avg_field(parsed, "k", "1 day"),
+        parse.explode_fields(parsed, "id"),
+    ):
         assert df._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
 
 
