@@ -21,10 +21,12 @@ open until later data moves it.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -39,6 +41,22 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _OUTPUT = "highway_id string, event_ms bigint, s double, c bigint"
 
 
+Columns = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _split(frames: Iterable[pd.DataFrame]) -> tuple[Columns, Columns]:
+    """Position, sum and count of the head rows and of the tail rows."""
+    parts = [[frame[name].to_numpy() for name in ("tail", "pos", "s", "c")] for frame in frames]
+    tail, *columns = [np.concatenate(arrays) for arrays in zip(*parts)]
+    is_tail = tail == 1
+    return tuple(a[~is_tail] for a in columns), tuple(a[is_tail] for a in columns)
+
+
+def _in_order(columns: Columns) -> Columns:
+    order = np.argsort(columns[0], kind="stable")
+    return tuple(column[order] for column in columns)
+
+
 class HeadAndTail(StatefulProcessor):
     """State of one (road, block): what earlier batches brought, as a list.
 
@@ -55,49 +73,48 @@ class HeadAndTail(StatefulProcessor):
             "parts", "tail boolean, pos array<bigint>, s array<double>, c array<bigint>"
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         road, block = key
         block_end = (block + 1) * self.window_ms
-        own, arrived = [], []
-        for row in rows:
-            (arrived if row.tail else own).append((row.pos, row.s, row.c))
-        if own:
-            yield from self._means(road, sorted(own), arrived)
+        own, arrived = _split(rows)
+        if len(own[0]):
+            yield self._means(road, own, arrived)
         # Milliseconds up to the watermark have all been delivered.
         if timerValues.getCurrentWatermarkInMs() < block_end - 1:
-            if arrived:
-                self.parts.appendValue((True, *(list(column) for column in zip(*arrived))))
-            if own:
-                total_s, total_c = sum(s for _, s, _ in own), sum(c for _, _, c in own)
-                self.parts.appendValue((False, [block_end], [total_s], [total_c]))
+            if len(arrived[0]):
+                self.parts.appendValue((True, *(column.tolist() for column in arrived)))
+            if len(own[0]):
+                _, s, c = own
+                self.parts.appendValue((False, [block_end], [float(s.sum())], [int(c.sum())]))
             self.handle.registerTimer(block_end)
 
-    def _means(self, road: str, own: list, arrived: list) -> Iterator[Row]:
-        """Sum and count of the window of each own row, the newest window first.
+    def _means(self, road: str, own: Columns, arrived: Columns) -> pd.DataFrame:
+        """Sum and count of the window of each own row.
 
-        Going back in time the head shrinks and the tail grows: the head is a
-        prefix sum and the tail is summed up on the way.
+        The head is a prefix sum over time, the tail a sum from its end back to
+        the first row that is still inside the window.
         """
-        head_s, head_c, tail, heads = 0.0, 0, [], []
-        for is_tail, *columns in self.parts.get():
+        before_s, before_c, tails = 0.0, 0, [arrived]
+        for is_tail, pos, s, c in self.parts.get():
             if is_tail:
-                tail.extend(zip(*columns))
+                tails.append((np.array(pos, np.int64), np.array(s, float), np.array(c, np.int64)))
             else:
-                head_s, head_c = head_s + columns[1][0], head_c + columns[2][0]
-        tail.extend(arrived)
-        tail.sort()
-        for pos, s, c in own:
-            head_s, head_c = head_s + s, head_c + c
-            heads.append((pos, head_s, head_c))
-
-        tail_s, tail_c = 0.0, 0
-        for pos, head_s, head_c in reversed(heads):
-            while tail and tail[-1][0] >= pos:
-                _, s, c = tail.pop()
-                tail_s, tail_c = tail_s + s, tail_c + c
-            yield Row(highway_id=road, event_ms=pos, s=head_s + tail_s, c=head_c + tail_c)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+                before_s, before_c = before_s + s[0], before_c + c[0]
+        pos, s, c = _in_order([np.concatenate(columns) for columns in zip(*tails)])
+        tail_s = np.append(np.cumsum(s[::-1])[::-1], 0.0)
+        tail_c = np.append(np.cumsum(c[::-1])[::-1], 0)
+        own_pos, own_s, own_c = _in_order(own)
+        first = np.searchsorted(pos, own_pos, side="left")
+        return pd.DataFrame(
+            {
+                "highway_id": road,
+                "event_ms": own_pos,
+                "s": before_s + np.cumsum(own_s) + tail_s[first],
+                "c": before_c + np.cumsum(own_c) + tail_c[first],
+            }
+        )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.parts.clear()
         return iter([])
 
@@ -133,7 +150,7 @@ def trailing_mean_stream(
         place_in_blocks(per_ms, window_ms, include_start)
         .select("highway_id", "block", "tail", "pos", "s", "c")
         .groupBy("highway_id", "block")
-        .transformWithState(
+        .transformWithStateInPandas(
             HeadAndTail(window_ms),
             outputStructType=_OUTPUT,
             outputMode="append",
