@@ -131,10 +131,22 @@ def _route(node, points, rows, home, mask, radius, path, out) -> None:
         _route(side, points, rows[reach], home[reach] & here[reach], mask, radius, step, out)
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+    """Fingerprints of many small batches together: each node then costs once per block."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch["fp"].to_numpy(np.int64))
+        n += len(batch)
+        if n >= _BATCH:
+            yield np.concatenate(held).view(np.uint64)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held).view(np.uint64)
+
+
 def _deal(trees: list, masks: list[int], radius: int):
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            points = batch["fp"].to_numpy(np.int64).view(np.uint64)
+        for points in _gathered(batches):
             every, home = np.arange(len(points)), np.ones(len(points), bool)
             for k, (tree, mask) in enumerate(zip(trees, masks, strict=True)):
                 out: list = []
