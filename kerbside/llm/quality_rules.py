@@ -25,12 +25,15 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 
-FEATURES = ("word_length", "symbol_share", "dup_line_share", "repeat_share")
+FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 # Vectors are kept in units of 1/SCALE.
 SCALE = 10_000
 # Least standard deviation of each feature, in its transformed unit. Most documents
 # have no symbol and no repeated line; without a floor any single one would be far out.
-FLOORS = (0.05, 0.25, 0.25, 0.25)
+FLOORS = (0.02, 0.1, 0.1, 0.15)
+# Words of PRIOR_LENGTH characters that the mean word length starts from: that of a few
+# words varies too much to tell anything.
+PRIOR_WORDS, PRIOR_LENGTH = 20, 5
 SUBSET = 0.75
 STEPS = 5
 # 0.9999 quantile of chi-squared with 4 degrees of freedom.
@@ -103,13 +106,18 @@ def base_failed() -> Column:
 
 
 def feature_vector() -> list[Column]:
-    """Transformed statistics in units of 1/SCALE: logs of rates that are near normal."""
+    """Transformed statistics in units of 1/SCALE.
+
+    The log of the mean word length, and the square roots, which even out the
+    spread of counts, of symbols, repeated lines and repeated words per word.
+    """
     n = F.greatest(F.col("n_words"), F.lit(1))
+    length = (F.col("word_chars") + PRIOR_WORDS * PRIOR_LENGTH) / (n + PRIOR_WORDS)
     raw = (
-        F.log(F.col("word_chars") / n + 1.0),
-        F.log1p(100.0 * F.col("n_symbols") / n),
-        F.log1p(100.0 * F.col("n_dup_lines") / n),
-        F.log1p(100.0 * F.col("n_repeat_words") / n),
+        F.log(length),
+        F.sqrt(F.col("n_symbols") / n),
+        F.sqrt(F.col("n_dup_lines") / n),
+        F.sqrt(F.col("n_repeat_words") / n),
     )
     return [F.round(x * SCALE).cast("long").alias(f) for x, f in zip(raw, FEATURES, strict=True)]
 

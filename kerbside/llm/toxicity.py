@@ -4,11 +4,13 @@ A linear classifier on words and word beginnings is trained from confirmed
 toxic texts (positives) and a sample of all texts (unlabelled). With the class
 prior p, the risk on negatives is estimated as the unlabelled risk minus p
 times the positives' risk; where a batch drives this below zero, the step
-undoes the overfit instead. Nothing is learnt from texts that are marked as
-not toxic, except the prior, their share among marked training rows.
+undoes the overfit instead. Texts that are marked as not toxic take no part in
+that; they only give the prior, and a fifth of the marked training rows, which
+the classifier does not learn from, calibrates its scores to probabilities.
 
-Fitting takes bounded samples (``POSITIVES``, ``UNLABELLED``) whose features
-are made on the executors; scoring covers all texts, one pass, no shuffle.
+Fitting takes bounded samples (``POSITIVES``, ``UNLABELLED``, ``CALIBRATING``)
+whose features are made on the executors; scoring covers all texts, one pass, no
+shuffle.
 """
 
 from __future__ import annotations
@@ -26,12 +28,17 @@ from kerbside.llm.common import text_of
 
 POSITIVES = 3_000
 UNLABELLED = 6_000
+CALIBRATING = 4_000
 WIDTH = 1 << 18
 PREFIX = 4
-EPOCHS = 40
+# Features of fewer positives are left out, and weights are drawn to zero by L1: a
+# long text has thousands of words, whose small weights would add up.
+LEAST_POSITIVES = 5
+EPOCHS = 20
 BATCHES = 6
-RATE = 0.05
-DECAY = 1e-4
+RATE = 0.1
+L1 = 0.1
+L2 = 1e-4
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>-_"
 # Words whose scores a worker remembers.
 REMEMBERED = 500_000
@@ -67,11 +74,15 @@ def _spread(n: int) -> float:
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed=7) -> Model:
-    """Minimise the non-negative risk of a logistic loss by Adam.
+    """Minimise the non-negative risk of a logistic loss by Adam with soft thresholds.
 
     Each text is an array with two hashed features per distinct word. Without
     positives everything scores the prior.
     """
+    common = np.zeros(WIDTH, int)
+    for text in positive:
+        common[np.unique(text)] += 1
+    usable = common >= LEAST_POSITIVES
     weights, bias = np.zeros(WIDTH), float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(weights.astype(np.float32), bias)
@@ -84,10 +95,10 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
             if not len(p_rows) or not len(u_rows):
                 continue
             texts = [positive[i] for i in p_rows] + [unlabelled[i] for i in u_rows]
-            sizes = np.array([len(t) for t in texts])
-            at = np.repeat(np.arange(len(texts)), sizes)
+            scale = np.array([_spread(len(t) / 2) for t in texts])
+            texts = [t[usable[t]] for t in texts]
+            at = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
             index = np.concatenate(texts)
-            scale = 1.0 / np.sqrt(np.maximum(sizes / 2, 1))
             z = np.bincount(at, weights[index], len(texts)) * scale + bias
             sig = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             is_p = np.arange(len(texts)) < len(p_rows)
@@ -98,16 +109,33 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
             up, down = np.where(is_p, prior * (sig - 1) / n_p, 0), np.where(is_p, -prior * sig / n_p, sig / n_u)
             slope = up + down if rest >= 0 else -down
             grad = np.bincount(index, (slope * scale)[at], WIDTH)
-            grad = np.append(grad + DECAY * weights, slope.sum())
+            grad = np.append(grad + L2 * weights, slope.sum())
             step += 1
             mean += 0.1 * (grad - mean)
             var += 0.001 * (grad**2 - var)
             move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(var / (1 - 0.999**step)) + 1e-8)
             weights -= move[:-1]
+            weights = np.sign(weights) * np.maximum(np.abs(weights) - L1 * RATE, 0)
             bias -= move[-1]
     return Model(weights.astype(np.float32), float(bias))
 
 
+def calibrated(model: Model, texts: list[np.ndarray], marks: np.ndarray) -> Model:
+    """Scale and shift logits so that they fit marked texts (Platt); unchanged without both kinds."""
+    if len(np.unique(marks)) < 2:
+        return model
+    z = np.array([model.weights[t].sum() * _spread(len(t) / 2) + model.bias for t in texts])
+    x = np.column_stack([(z - z.mean()) / (z.std() + 1e-9), np.ones(len(z))])
+    w, ridge = np.array([1.0, 0.0]), np.diag([0.1, 1e-3])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        bend = np.maximum(p * (1 - p), 1e-4)
+        w = w - np.linalg.solve((x * bend[:, None]).T @ x + ridge, x.T @ (p - marks) + ridge @ w)
+    scale = w[0] / (z.std() + 1e-9)
+    shift = float(w[1] - scale * z.mean())
+    return Model((model.weights * scale).astype(np.float32), float(model.bias * scale + shift))
+
+
 def held_out(column: str = "doc_id"):
     """True for the fifth of the rows whose labels are never learnt from."""
     name = F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -117,27 +145,34 @@ def held_out(column: str = "doc_id"):
 def _featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         made = [[i for t in sorted(tokens(x)) for i in features(t)] for x in rows["text"]]
-        yield pd.DataFrame({"positive": rows["positive"], "index": made})
+        yield pd.DataFrame({"use": rows["use"], "index": made})
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on bounded samples of the rows that are not held out."""
-    marked = labels.where(~held_out() & F.col("toxic").isNotNull())
+    marked = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     prior = marked.agg(F.avg("toxic")).first()[0]
     prior = min(max(prior if prior is not None else 0.5, 0.001), 0.999)
     draw = [F.xxhash64("doc_id"), F.col("doc_id")]
-    some = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id")
-    toxic = marked.where("toxic = 1").select("doc_id").orderBy(*draw).limit(POSITIVES)
-    free = some.orderBy(*draw).limit(UNLABELLED)
-    ids = toxic.withColumn("positive", F.lit(True)).unionByName(free.withColumn("positive", F.lit(False)))
-    # At most POSITIVES + UNLABELLED ids are broadcast.
+    apart = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0
+    free = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id")
+    used = [
+        (marked.where(~apart & (F.col("toxic") == 1)), POSITIVES, F.lit("positive")),
+        (free, UNLABELLED, F.lit("unlabelled")),
+        (marked.where(apart), CALIBRATING, F.concat(F.lit("mark"), F.col("toxic").cast("string"))),
+    ]
+    parts = [df.orderBy(*draw).limit(n).select("doc_id", use.alias("use")) for df, n, use in used]
+    ids = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # At most POSITIVES + UNLABELLED + CALIBRATING ids are broadcast.
     chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids), "doc_id")
-    made = chosen.mapInPandas(_featurise, "positive boolean, index array<int>").toPandas()
+    made = chosen.mapInPandas(_featurise, "use string, index array<int>").toPandas()
     made["key"] = [(zlib.crc32(np.asarray(i).tobytes()), len(i)) for i in made["index"]]
-    made = made.sort_values(["positive", "key"])  # rows arrive in any order
-    arrays = {flag: [np.asarray(i, np.int64) for i in rows["index"]] for flag, rows in made.groupby("positive")}
-    return fit(arrays.get(True, []), arrays.get(False, []), prior)
+    made = made.sort_values(["use", "key"])  # rows arrive in any order
+    arrays = {u: [np.asarray(i, np.int64) for i in rows["index"]] for u, rows in made.groupby("use")}
+    model = fit(arrays.get("positive", []), arrays.get("unlabelled", []), prior)
+    clean, toxic = arrays.get("mark0", []), arrays.get("mark1", [])
+    return calibrated(model, clean + toxic, np.repeat([0.0, 1.0], [len(clean), len(toxic)]))
 
 
 _scores: dict[str, float] = {}
