@@ -1,9 +1,9 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes of a text; a word start is a cut where the
-hash of the bytes before it has its top bits zero. Cuts depend on nearby bytes
-alone, so a passage is cut alike wherever it stands, and an insertion moves only
-the cuts beside it. Chunks are compared by a 128-bit digest. The first chunk
+hash of the bytes before it is the least among the word starts around it. Cuts
+depend on nearby bytes alone, not on earlier cuts, so a passage is cut alike
+wherever it stands, and an insertion moves only the cuts beside it. Chunks are compared by a 128-bit digest. The first chunk
 with a digest, by document and place, stays; a run of later ones that is long
 enough is removed from its text.
 
@@ -24,15 +24,16 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import materialize, text_of
 
-# A word start is a cut with probability 2**-CUT_BITS, at least MIN_WORDS after the
-# last cut; where no cut comes, one is made after MAX_WORDS.
-CUT_BITS = 2
-MIN_WORDS = 4
-MAX_WORDS = 24
+# A cut is the least of this many word starts on either side, so chunks have more words
+# than this, and 2 * REACH + 1 on average. Where no cut comes, as among equal words,
+# one is made after MAX_WORDS.
+REACH = 3
+MAX_WORDS = 32
 # Words that a run of repeated chunks must have to be removed. A repeated passage of
-# 50 words keeps at least this many in whole chunks, but for rare cases.
-RUN_WORDS = 24
-WINDOW = 32
+# over 50 words keeps at least this many in whole chunks, but for rare cases.
+RUN_WORDS = 20
+# Bytes that a gear hash looks back on.
+WINDOW = 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -46,14 +47,14 @@ _GEAR = _gear()
 
 
 def gear_hashes(raw: np.ndarray) -> np.ndarray:
-    """Gear hash after each byte: sum of the last 32 gears, each shifted by its age.
+    """Gear hash after each byte: sum of the last 16 gears, each shifted by twice its age.
 
-    The sum over 32 bytes is built by doubling its window five times.
+    The sum over 16 bytes is built by doubling its window four times.
     """
     h = _GEAR[raw]
-    for k in (1, 2, 4, 8, 16):
+    for k in (1, 2, 4, 8):
         later = h.copy()
-        later[k:] += h[:-k] << np.uint32(k)
+        later[k:] += h[:-k] << np.uint32(2 * k)
         h = later
     return h
 
@@ -68,23 +69,24 @@ def chunk_bounds(raw: bytes) -> tuple[list[int], list[int]]:
     word = ~space
     word[1:] &= space[:-1]
     starts = np.nonzero(word)[0]
-    if not len(starts):
+    n = len(starts)
+    if not n:
         return [0, len(raw)], [0]
-    before = gear_hashes(data)[starts[1:] - 1]
-    cut = np.nonzero(before >> np.uint32(32 - CUT_BITS) == 0)[0] + 1  # numbers of words
-    chosen, last, n = [0], 0, len(starts)
-    for w in cut.tolist():
-        while w - last > MAX_WORDS:
-            last += MAX_WORDS
-            chosen.append(last)
-        if w - last >= MIN_WORDS:
-            chosen.append(w)
-            last = w
-    while n - last > MAX_WORDS:
-        last += MAX_WORDS
-        chosen.append(last)
-    edges = [0, *starts[chosen[1:]].tolist(), len(raw)]
-    return edges, np.diff([*chosen, n]).tolist()
+    h = gear_hashes(data)[starts - 1].astype(np.int64)  # the first word has no say below
+    high = np.full(REACH, 1 << 40)
+    around = np.concatenate([high, [1 << 40], h[1:], high])
+    least = np.ones(n, bool)
+    for k in range(1, REACH + 1):
+        least &= around[REACH : REACH + n] < around[REACH - k : REACH - k + n]
+        least &= around[REACH : REACH + n] <= around[REACH + k : REACH + k + n]
+    least[: REACH + 1] = False
+    cuts = np.nonzero(least)[0]
+    edges = np.concatenate([[0], cuts, [n]])
+    if np.diff(edges).max() > MAX_WORDS:
+        steps = [np.arange(a, b, MAX_WORDS) for a, b in zip(edges, edges[1:], strict=False)]
+        cuts = np.concatenate(steps)[1:]
+    bounds = [0, *starts[cuts].tolist(), len(raw)]
+    return bounds, np.diff(np.concatenate([[0], cuts, [n]])).tolist()
 
 
 def _digest(part: bytes) -> bytes:

@@ -94,7 +94,7 @@ def mix(
         docs.select("doc_id", "source", word_count(text_of()).alias("size")), "mix-sizes"
     )
     targets = source_targets(ranked_sources(sizes), weights, max_repeats)
-    rate = F.round(F.col("target") / F.col("source_size") * UNIT).cast("long")
+    rate = F.round(F.col("target") / F.nullif("source_size", F.lit(0)) * UNIT).cast("long")
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), _key())), 1, 6), 16, 10)
     targets = materialize(
         targets.select(

@@ -164,15 +164,29 @@ def _tokenizer(path: str):
     return _library[path]
 
 
+def word_parts(word: str) -> tuple[str, ...]:
+    """Strings that encode to the ids of ``word`` and are shared by more words.
+
+    The vocabulary ignores case and splits letters from a point or comma.
+    """
+    if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
+        core = word[:-1]
+        return (core.lower() if core.isascii() else core, word[-1])
+    return (word.lower() if word.isascii() and word.isalpha() else word,)
+
+
 def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> tuple[list[bytes], int]:
     """Ids of each text with the end id, as little-endian bytes, and bytes per id."""
     made, kind = _tokenizer(path)
     split = [t.split(" ") if "\n" not in t and "\t" not in t else t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    new = list({w for found in split for w in found if w not in _words})
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
+    new = {w: word_parts(w) for found in split for w in found if w not in _words}
+    cores = list({p for parts in new.values() for p in parts if p not in _words})
+    for at in range(0, len(cores), 10_000):
+        part = cores[at : at + 10_000]
         for word, got in zip(part, made.encode_batch_fast(part, add_special_tokens=False), strict=True):
             _words[word] = np.array(got.ids, kind).tobytes()
+    for word, parts in new.items():
+        _words[word] = b"".join([_words[p] for p in parts])
     end = np.array([end_id], kind).tobytes()
     ids = [b"".join(map(_words.__getitem__, found)) + end for found in split]
     if len(_words) > REMEMBERED:

@@ -66,7 +66,7 @@ def _deal_pages(cuts: list[str]):
     """Add ``part``: the range of a key, or one of those that a frequent key fills."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
+        for rows in filter(len, batches):
             first = [bisect_left(cuts, k) for k in rows["key"]]
             last = [bisect_right(cuts, k) for k in rows["key"]]
             part = [a + s % (b - a + 1) for a, b, s in zip(first, last, rows["salt"], strict=True)]
@@ -79,7 +79,7 @@ def _deal_rules(cuts: list[str]):
     """A row for each range that the interval of a rule meets."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
+        for rows in filter(len, batches):
             # All keys below a rule start with its key, whose last character is a dot.
             ends = [k[:-1] + "/" for k in rows["key"]]
             parts = [
@@ -111,7 +111,7 @@ class _Level:
 def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows in order of (part, key, rules first): judge pages by the open rules."""
     part, stack = None, []
-    for rows in batches:
+    for rows in filter(len, batches):
         rules, verdicts = [], []
         columns = (rows[c] for c in ("part", "key", "is_page", "path", "rule", "verdict"))
         for at, key, is_page, path, rule, verdict in zip(*columns, strict=True):
@@ -129,9 +129,9 @@ def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = max(found, key=lambda b: b[0], default=(0, None, None))
             rules.append(best[1])
             verdicts.append(best[2])
-        pages = rows[rows["is_page"]]
-        out = pages[["page_id", "host", "path"]].assign(rule=rules, verdict=verdicts)
-        yield out
+        if rules:
+            pages = rows.loc[rows["is_page"], ["page_id", "host", "path"]]
+            yield pages.assign(rule=rules, verdict=verdicts)
 
 
 def judge_urls(

@@ -22,9 +22,9 @@ import bisect
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import id_splits, range_of, shuffle_partitions, text_of, words
+from kerbside.llm.common import id_splits, materialize, range_of, shuffle_partitions, text_of, words
 
-SAMPLES = 16
+SAMPLES = 32
 NO_SAMPLE = 0
 
 
@@ -182,6 +182,8 @@ def fingerprint_documents(
     by_kind = found.groupBy("block", "place").agg(
         *[F.max(F.when(F.col("kind") == k, F.col("signature"))).alias(f"sig{k}") for k in (0, 1)]
     )
+    # Few bytes a row, and read twice below: for the row itself and for the one before it.
+    by_kind = materialize(by_kind, "fingerprints")
     none = F.array_repeat(F.lit(NO_SAMPLE).cast("long"), samples)
     facts = edited.select(
         "doc_id", "block", "place", "next_block", "next_place",
