@@ -181,6 +181,8 @@ def _nearest(rows: DataFrame, share: float) -> DataFrame:
     need = F.sum("n").over(group) * share
     taken = counts.select("grp", "bin", F.coalesce(upto, F.lit(0)).alias("below"), need.alias("need"))
     last = taken.where("below < need").groupBy("grp").agg(F.max("bin").alias("last_bin"))
+    # One row per group, written, so that the join with a large group can be split.
+    last = materialize(last, "rules-cut")
     return rows.join(last, "grp").where("bin <= last_bin").drop("bin", "last_bin", "d2")
 
 
