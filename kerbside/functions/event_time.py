@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the accepted forms of the time text, with one to six fraction
 # digits or with none.
-TIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
+TIME_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?\z"
 
 
 def parse_event_time(text: Column) -> Column:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kerbside.functions.units import plain_number
+
 WILDCARD = "<_>"
 
 
@@ -17,7 +19,7 @@ def _quote(text: str) -> str:
 
 def full_match(value: Column, regex: str) -> Column:
     """Regular expression match over the whole value."""
-    return value.rlike(f"^(?:{regex})$")
+    return value.rlike(rf"^(?:{regex})\z")
 
 
 def match_label(label: Column, op: str, value: str) -> Column:
@@ -54,7 +56,7 @@ def match_none_of(label: Column, values: list[str]) -> Column:
 
 def match_number(field: Column, op: str, bound: float) -> Column:
     """Compare a text field as a number; text that is not a number never matches."""
-    number = field.try_cast("double")
+    number = plain_number(field)
     if op == ">":
         return number > bound
     if op == ">=":

@@ -32,12 +32,22 @@ SIZE_BYTES = {
     "gib": 2**30,
     "tib": 2**40,
     "pib": 2**50,
+    "eb": 10**18,
+    "zb": 10**21,
+    "yb": 10**24,
+    "eib": 2**60,
+    "zib": 2**70,
+    "yib": 2**80,
 }
 
 _NUMBER = r"\d+(?:\.\d+)?"
 _DURATION_UNIT = "ns|us|µs|ms|s|m|h"
-_DURATION = rf"^-?(?:{_NUMBER}(?:{_DURATION_UNIT}))+$"
-_SIZE = rf"^({_NUMBER})\s*([kmgtp]?i?b|)$"
+_DURATION = rf"^-?(?:{_NUMBER}(?:{_DURATION_UNIT}))+\z"
+_SIZE = rf"^({_NUMBER})\s*([kmgtpezy]?i?b|)\z"
+
+# Fixed value: decimal and exponent forms of a number. A cast alone would also take
+# NaN, Infinity and a trailing d or f.
+FLOAT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\z"
 
 
 def _lookup(unit: Column, table: dict) -> Column:
@@ -65,7 +75,8 @@ def size_bytes(text: Column) -> Column:
 
 
 def plain_number(text: Column) -> Column:
-    return text.try_cast("double")
+    """The number a text stands for; NULL where it is not a plain one."""
+    return F.when(text.rlike(FLOAT), text.try_cast("double"))
 
 
 READERS = {"float": plain_number, "duration": duration_seconds, "bytes": size_bytes}

@@ -15,9 +15,6 @@ from kerbside.functions.matching import match_pattern
 from kerbside.functions.units import READERS
 from kerbside.operators.log_filters import label
 
-# Fixed value: most values a volume ranking returns.
-VOLUME_LIMIT = 5000
-
 
 def _bucketed(rows: DataFrame, step: str, *keys: Column) -> DataFrame:
     return rows.groupBy(F.window("ts", step).alias("w"), *keys)
@@ -59,15 +56,15 @@ def avg_field(parsed: DataFrame, field: str, step: str, unit: str = "float") ->
     return averaged.where(F.col("count") > 0).select(F.col("w.start").alias("bucket"), "avg", "count")
 
 
-def label_volume(logs: DataFrame, name: str, limit: int = VOLUME_LIMIT) -> DataFrame:
-    """Bytes of lines per label value, largest first."""
-    return (
+def label_volume(logs: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """Bytes of lines per label value, largest first; all of them, or the first ``limit``."""
+    volumes = (
         logs.where(label(name).isNotNull())
         .groupBy(label(name).alias("value"))
         .agg(F.sum(F.octet_length("line")).alias("volume"))
         .orderBy(F.col("volume").desc(), F.col("value"))
-        .limit(limit)
     )
+    return volumes if limit is None else volumes.limit(limit)
 
 
 def build_rollup(logs: DataFrame, step: str = "1 hour") -> DataFrame:
@@ -81,11 +78,21 @@ def build_rollup(logs: DataFrame, step: str = "1 hour") -> DataFrame:
     return counted.select(F.col("w.start").alias("bucket"), "service", "level", "count")
 
 
-def rollup_counts(rollup: DataFrame, step: str) -> DataFrame:
-    """Rows per bucket and level from a roll-up whose own step divides ``step``.
+def _step_us(rollup: DataFrame, step: str) -> int:
+    moved = F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"interval {step}")
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp")
+    length = F.unix_micros(moved) - F.unix_micros(start)
+    return rollup.sparkSession.range(1).select(length).first()[0]
+
+
+def rollup_counts(rollup: DataFrame, step: str, rollup_step: str = "1 hour") -> DataFrame:
+    """Rows per bucket and level from a roll-up built with ``rollup_step``.
 
-    Equals :func:`counts_by_label` on the raw rows for the level label.
+    Equals :func:`counts_by_label` on the raw rows for the level label. The
+    roll-up's step must divide ``step``, or its buckets would straddle two.
     """
+    if _step_us(rollup, step) % _step_us(rollup, rollup_step):
+        raise ValueError(f"a roll-up by {rollup_step} cannot be read by {step}")
     summed = rollup.groupBy(F.window("bucket", step).alias("w"), "level").agg(
         F.sum("count").alias("count")
     )

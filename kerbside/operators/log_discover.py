@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.units import duration_seconds, size_bytes
+from kerbside.functions.units import FLOAT
 from kerbside.operators.log_filters import label
 from kerbside.operators.log_parse import fields_and_parser, which_parser
 
@@ -20,13 +21,8 @@ from kerbside.operators.log_parse import fields_and_parser, which_parser
 LEVEL_FIELDS = ["level_extracted", "detected_level", "level"]
 INTERNAL_LABELS = ["__aggregated_metric__", "__stream_shard__"]
 
-# Fixed value: most values a value list returns.
-VALUES_LIMIT = 1000
 
 
-# Fixed value: decimal and exponent forms of a number.
-FLOAT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
-
 
 def value_kind(value: Column) -> Column:
     """Kind of one text value: int, float, boolean, duration, bytes or string."""
@@ -106,12 +102,11 @@ def label_names(logs: DataFrame) -> DataFrame:
     return logs.select(F.explode(F.map_keys("labels")).alias("label")).distinct().orderBy("label")
 
 
-def label_values(logs: DataFrame, name: str, limit: int = VALUES_LIMIT) -> DataFrame:
-    """Values of one label in order, at most ``limit``."""
+def label_values(logs: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """All values of one label in order, or the first ``limit``."""
     held = label(name)
-    return (
-        logs.where(held.isNotNull()).select(held.alias("value")).distinct().orderBy("value").limit(limit)
-    )
+    values = logs.where(held.isNotNull()).select(held.alias("value")).distinct().orderBy("value")
+    return values if limit is None else values.limit(limit)
 
 
 def label_coverage(logs: DataFrame) -> DataFrame:

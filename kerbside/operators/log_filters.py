@@ -22,6 +22,7 @@ from kerbside.functions.matching import (
     match_number,
     match_pattern,
 )
+from kerbside.operators.log_parse import parse_fields
 
 
 def time_range(logs: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
@@ -53,13 +54,18 @@ def label_multi_filter(logs: DataFrame, filters: list[tuple[str, str, str]]) ->
     return logs.where(condition)
 
 
+def _any_regex(values: list[str]) -> str:
+    """One alternation; flags inside a value hold for that value alone."""
+    return "|".join(f"(?:{v})" for v in values)
+
+
 def _one_label(name: str, filters: list[tuple[str, str, str]]) -> Column:
     values = {
         op: [v for n, o, v in filters if n == name and o == op] for op in ("=", "=~", "!=", "!~")
     }
     held, text = label(name), F.coalesce(label(name), F.lit(""))
     conditions = []
-    regex = full_match(text, "|".join(values["=~"])) if values["=~"] else None
+    regex = full_match(text, _any_regex(values["=~"])) if values["=~"] else None
     if values["="]:
         exact = match_any_of(held, values["="])
         if regex is not None and len(values["="]) > 1:
@@ -71,7 +77,7 @@ def _one_label(name: str, filters: list[tuple[str, str, str]]) -> Column:
     if values["!="]:
         conditions.append(match_none_of(held, values["!="]))
     if values["!~"]:
-        conditions.append(~full_match(text, "|".join(values["!~"])))
+        conditions.append(~full_match(text, _any_regex(values["!~"])))
     return reduce(lambda a, b: a & b, conditions)
 
 
@@ -98,7 +104,42 @@ def pattern_filter(logs: DataFrame, include: list[str] = (), exclude: list[str]
     return logs.where(reduce(lambda a, b: a & b, keep, F.lit(True)))
 
 
-def log_lines(logs: DataFrame, limit: int = 100, newest_first: bool = True) -> DataFrame:
+def restrict(
+    logs: DataFrame,
+    *,
+    span: tuple[datetime | str, datetime | str] | None = None,
+    labels: list[tuple[str, str, str]] = (),
+    levels: list[str] = (),
+    lines: list[tuple[str, str, bool]] = (),
+    include: list[str] = (),
+    exclude: list[str] = (),
+    parser: str | None = None,
+    numbers: list[tuple[str, str, float]] = (),
+) -> DataFrame:
+    """A whole log query: time range, labels, levels, lines, patterns, then parsed fields.
+
+    ``labels`` are (name, operator, value), ``lines`` (operator, text, ignore
+    case) and ``numbers`` (field, operator, bound), which need a ``parser``.
+    What reads no line comes first and reaches the scan; lines are parsed last.
+    """
+    rows = logs if span is None else time_range(logs, *span)
+    rows = label_multi_filter(rows, list(labels)) if labels else rows
+    rows = level_filter(rows, list(levels))
+    for op, text, ignore_case in lines:
+        rows = line_filter(rows, op, text, ignore_case)
+    if include or exclude:
+        rows = pattern_filter(rows, list(include), list(exclude))
+    if parser is None:
+        if numbers:
+            raise ValueError("filters by number need a parser")
+        return rows
+    rows = parse_fields(rows, parser)
+    for field, op, bound in numbers:
+        rows = numeric_filter(rows, field, op, bound)
+    return rows
+
+
+def log_lines(logs: DataFrame, limit: int, newest_first: bool = True) -> DataFrame:
     """The preview of log rows: the newest (or oldest) ``limit`` rows.
 
     Each task keeps its own ``limit`` rows before they are merged.

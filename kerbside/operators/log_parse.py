@@ -54,7 +54,11 @@ def json_fields(line: Column) -> Column:
 
 def _unquoted(value: Column) -> Column:
     inside = F.substring(value, F.lit(2), F.length(value) - 2)
-    return F.when(value.startswith('"'), F.regexp_replace(inside, r"\\(.)", "$1")).otherwise(value)
+    # A quoted value has the escapes of a JSON string; other escapes stand for their letter.
+    as_json = F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")
+    plain = F.regexp_replace(inside, r"\\(.)", "$1")
+    quoted = F.when(value.contains("\\"), F.coalesce(as_json, plain)).otherwise(inside)
+    return F.when(value.startswith('"'), quoted).otherwise(value)
 
 
 def logfmt_fields(line: Column) -> Column:

@@ -112,7 +112,8 @@ def expected_profile(rules: DataFrame, passages: DataFrame) -> DataFrame:
 
 def minute_totals(passages: DataFrame) -> DataFrame:
     """Passages, mean speed and share of electric vehicles per road and minute."""
-    return passages.groupBy("highway_id", F.date_trunc("minute", "timestamp").alias("minute")).agg(
+    timed = passages.where(F.col("timestamp").isNotNull())
+    return timed.groupBy("highway_id", F.date_trunc("minute", "timestamp").alias("minute")).agg(
         F.count(F.lit(1)).alias("cars"),
         F.avg("speed").alias("avg_speed"),
         F.avg(F.col("ev").cast("double")).alias("ev_share"),
@@ -120,11 +121,12 @@ def minute_totals(passages: DataFrame) -> DataFrame:
 
 
 def volume_per_minute(passages: DataFrame, spine: DataFrame) -> DataFrame:
-    """Cars per road and minute, 0 where none passed."""
-    counts = passages.groupBy("highway_id", F.date_trunc("minute", "timestamp").alias("minute")).agg(
-        F.count(F.lit(1)).alias("cars")
-    )
-    return spine.join(counts, ["highway_id", "minute"], "left").select(
+    """Cars per road and minute, 0 where none passed.
+
+    Passages outside the spine, as on a road without rules, keep their rows.
+    """
+    counts = minute_totals(passages).select("highway_id", "minute", "cars")
+    return spine.join(counts, ["highway_id", "minute"], "full").select(
         "highway_id", "minute", F.coalesce("cars", F.lit(0)).alias("cars")
     )
 
@@ -133,12 +135,13 @@ def profile_deviation(passages: DataFrame, rules: DataFrame) -> DataFrame:
     """Observed against expected per road and minute.
 
     Deviations are observed minus expected. A minute without passages counts
-    as 0 cars and has no speed or share to compare.
+    as 0 cars and has no speed or share to compare; a road without rules has
+    its observed values and nothing expected.
     """
     expected = expected_profile(rules, passages)
     observed = minute_totals(passages)
     cars = F.coalesce("cars", F.lit(0))
-    return expected.join(observed, ["highway_id", "minute"], "left").select(
+    return expected.join(observed, ["highway_id", "minute"], "full").select(
         "highway_id",
         "minute",
         cars.alias("cars"),

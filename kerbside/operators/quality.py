@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the form of a number plate. Letters leave out W and X.
-PLATE = r"^[A-VYZ]{1,2}-[A-VYZ]{1,2} [0-9]{3,4}E?$"
+PLATE = r"^[A-VYZ]{1,2}-[A-VYZ]{1,2} [0-9]{3,4}E?\z"
 
 
 def bad_row_reason() -> Column:
@@ -15,12 +15,19 @@ def bad_row_reason() -> Column:
         F.when(F.col("timestamp").isNull() & F.col("time_text").isNull(), "no time")
         .when(F.col("timestamp").isNull(), "malformed time")
         .when(F.col("road").isNull(), "no key")
+        .when(_bad_speed(), "malformed speed")
     )
 
 
+def _bad_speed() -> Column:
+    """The record has a speed that is no number; a missing or null one is not an error."""
+    held = F.get_json_object(F.col("value").cast("string"), "$.speed")
+    return F.col("speed").isNull() & held.isNotNull()
+
+
 def split_bad_times(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable rows, quarantined rows with their reason and raw value)."""
-    bad_row = F.col("timestamp").isNull() | F.col("road").isNull()
+    bad_row = F.col("timestamp").isNull() | F.col("road").isNull() | _bad_speed()
     good = decoded.where(~bad_row)
     bad = decoded.where(bad_row).select("road", "value", bad_row_reason().alias("reason"))
     return good, bad

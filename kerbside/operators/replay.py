@@ -30,29 +30,28 @@ def event_gap(passages: DataFrame, speed_factor: float = SPEED_FACTOR) -> DataFr
     tasks; each hour's first instant takes its predecessor from the small table
     of last instants per (road, hour).
     """
+    # A road that is never NULL, so that the window and the join share one shuffle.
+    road = F.when(F.col("highway_id").isNull(), "").otherwise(
+        F.concat(F.lit("="), F.col("highway_id").cast("string"))
+    )
     instants = (
-        passages.groupBy("highway_id", "timestamp")
+        passages.where(F.col("timestamp").isNotNull())
+        .groupBy("highway_id", "timestamp")
         .agg(F.count(F.lit(1)).alias("passages"))
-        .withColumn("hour", F.date_trunc("hour", "timestamp"))
-    )
-    inside = Window.partitionBy("highway_id", "hour").orderBy("timestamp")
-    hours = passages.groupBy("highway_id", F.date_trunc("hour", "timestamp").alias("hour")).agg(
-        F.max("timestamp").alias("last")
+        .withColumns({"road": road, "hour": F.date_trunc("hour", "timestamp")})
     )
+    inside = Window.partitionBy("road", "hour").orderBy("timestamp")
+    hours = instants.groupBy("road", "hour").agg(F.max("timestamp").alias("last"))
     carried = hours.select(
-        F.col("highway_id").alias("road"),
-        F.col("hour").alias("held_hour"),
-        F.lag("last").over(Window.partitionBy("highway_id").orderBy("hour")).alias("carried"),
+        "road",
+        "hour",
+        F.lag("last").over(Window.partitionBy("road").orderBy("hour")).alias("carried"),
     )
     previous = F.coalesce(F.col("lagged"), F.col("carried"), F.col("timestamp"))
     gap_us = F.unix_micros("timestamp") - F.unix_micros(previous)
     return (
         instants.withColumn("lagged", F.lag("timestamp").over(inside))
-        .join(
-            carried,
-            F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("hour") == F.col("held_hour")),
-            "left",
-        )
+        .join(carried, ["road", "hour"], "left")
         .select(
             "highway_id",
             "timestamp",

@@ -21,7 +21,8 @@ def per_millisecond(passages: DataFrame, key: str = "highway_id") -> DataFrame:
     The aggregation is partial before the shuffle, so however many passages a
     road has, at most 1000 rows per second of event time go on from here.
     """
-    return passages.groupBy(
+    # A row without a time belongs to no window.
+    return passages.where(F.col("timestamp").isNotNull()).groupBy(
         F.col(key).alias("highway_id"),
         F.unix_millis("timestamp").alias("event_ms"),
     ).agg(F.sum("speed").alias("s"), F.count("speed").alias("c"))
@@ -76,7 +77,8 @@ def trailing_mean(
     """
     is_tail = F.col("tail") == 1
     # Only what the windows need is shuffled; a head row is known by its count.
-    placed = place_in_blocks(per_millisecond(passages, key), window_ms, include_start).select(
+    per_ms = per_millisecond(passages, key)
+    placed = place_in_blocks(per_ms, window_ms, include_start).select(
         "highway_id",
         "block",
         "pos",
@@ -97,11 +99,12 @@ def trailing_mean(
         "highway_id", "pos", "head_c", both("s").alias("total"), both("c").alias("count")
     ).where("head_c IS NOT NULL")
     if closed_only:
-        newest = passages.groupBy(F.col(key).alias("road")).agg(
-            F.max(F.unix_millis("timestamp")).alias("newest_ms")
+        # From the same aggregation, and joined on time too: a road is never one task.
+        newest = per_ms.groupBy(F.col("highway_id").alias("road")).agg(
+            F.max("event_ms").alias("newest_ms")
         )
-        closed = F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("pos") < F.col("newest_ms"))
-        summed = summed.join(newest, closed)
+        still_open = F.col("highway_id").eqNullSafe(F.col("road")) & (F.col("pos") == F.col("newest_ms"))
+        summed = summed.join(newest, still_open, "left_anti")
     return summed.select(*_as_rows(F.try_divide("total", "count"), F.col("pos"), window_ms))
 
 

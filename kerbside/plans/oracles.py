@@ -311,7 +311,7 @@ WHERE bucket + INTERVAL 1 hour <= (SELECT date_trunc('millisecond', max(ts)) FRO
     "avg_field_duration": _avg(f"round(avg(cents / 1000.0::DOUBLE), {DIGITS})"),
     "avg_field_bytes": _avg("avg(cents * 1024)"),
     "label_volume": """SELECT source AS value, CAST(sum(strlen(text)) AS BIGINT) AS volume FROM documents
-GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5000""",
+GROUP BY 1 ORDER BY 2 DESC, 1""",
     "rollup_counts": _ROLLED,
     "pattern_series": f"""WITH {LOGFMT}, series AS (
   SELECT pattern, bucket, count(*) AS count FROM ({_PATTERN_HITS}) GROUP BY 1, 2
@@ -337,7 +337,7 @@ FROM seen WHERE field != 'level' GROUP BY field""",
     "detected_labels": """SELECT 'lang' AS label, count(DISTINCT lang) AS cardinality FROM documents
 UNION ALL SELECT 'source', count(DISTINCT source) FROM documents""",
     "label_names": "SELECT unnest(['level', 'service']) AS label",
-    "label_values": "SELECT DISTINCT source AS value FROM documents ORDER BY 1 LIMIT 1000",
+    "label_values": "SELECT DISTINCT source AS value FROM documents ORDER BY 1",
     "label_coverage": f"""WITH {LOGS}, pairs AS (
   SELECT 'service' AS label, service AS value FROM logs
   UNION ALL SELECT 'level', level FROM logs

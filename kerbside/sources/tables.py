@@ -1,8 +1,12 @@
 """Output tables that survive replayed micro-batches and gain columns over time.
 
-A table is a folder with one sub-folder per micro-batch. Writing batch *n*
-again replaces its sub-folder, so a batch that is replayed after a failure
-leaves the table as it was; no existing row is read or rewritten for that.
+A table is a folder with one sub-folder per run and micro-batch. A run is one
+streaming query, known by the id that its checkpoint keeps. Writing batch *n* of
+a run again replaces its sub-folder, so a batch that is replayed after a failure
+leaves the table as it was; no existing row is read or rewritten for that. A
+query that starts with a new checkpoint counts its batches from 0 again, but as
+another run, so it never replaces what an earlier one stored. Rows that both
+have written are told apart on read, by their key.
 """
 
 from __future__ import annotations
@@ -20,31 +24,51 @@ AVERAGES_TABLE = "traffic_averages"
 QUARANTINE_TABLE = "quarantine"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Write one micro-batch; the same ``batch_id`` replaces its earlier output."""
+QUERY_ID = "sql.streaming.queryId"
+
+
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = (), *, run: str
+) -> None:
+    """Write one micro-batch; the same ``batch_id`` of the same ``run`` replaces its earlier output."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    writer.parquet(f"{path}/run=id-{run}/batch_id={batch_id}")
+
+
+def run_of(batch: DataFrame) -> str:
+    """The id of the streaming query that runs this micro-batch, the same after a restart."""
+    found = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    if not found:
+        raise ValueError("not inside a streaming query")
+    return found
 
 
 def batch_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends to the table at ``path``."""
-    return lambda df, batch_id: write_batch(df, path, batch_id, partition_by)
+    return lambda df, batch_id: write_batch(df, path, batch_id, partition_by, run=run_of(df))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All batches of a table.
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """All batches of all runs of a table; one row per key where ``keys`` are given.
 
     Columns that a batch lacks read as NULL. With ``schema`` the columns are
     known; without it the footers of all files are merged by a Spark job.
     """
     reader = spark.read.option("basePath", path)
     if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+        places = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+        reader = reader.schema(T.StructType([*schema.fields, *places]))
     else:
         reader = reader.option("mergeSchema", True)
-    return reader.parquet(path).drop("batch_id")
+    rows = reader.parquet(path).drop("run", "batch_id")
+    return rows if keys is None else rows.dropDuplicates(keys)
 
 
 def align_columns(batch: DataFrame, table: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ def counts_by_label_stream(
     name: str,
     step: str,
     require_label: bool = False,
-    watermark_delay: str = "0 seconds",
+    *,
+    watermark_delay: str,
 ) -> DataFrame:
     """Rows per bucket and label value, each bucket once it is closed.
 

@@ -13,6 +13,7 @@ from kerbside.sources.tables import (
     DETAIL_TABLE,
     QUARANTINE_TABLE,
     batch_writer,
+    run_of,
     write_batch,
 )
 from kerbside.streaming.trailing import trailing_mean_stream
@@ -43,7 +44,8 @@ def start_outputs(
     decoded: DataFrame,
     tables: str,
     checkpoints: str,
-    watermark_delay: str = "0 seconds",
+    *,
+    watermark_delay: str,
     interval: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[StreamingQuery]:
@@ -59,8 +61,9 @@ def start_outputs(
         batch = df.persist()
         try:
             good, bad = split_bad_times(batch)
-            write_batch(traffic_detailed(alter(good)), f"{tables}/{DETAIL_TABLE}", batch_id)
-            write_batch(bad, f"{tables}/{QUARANTINE_TABLE}", batch_id)
+            run = run_of(df)
+            write_batch(traffic_detailed(alter(good)), f"{tables}/{DETAIL_TABLE}", batch_id, run=run)
+            write_batch(bad, f"{tables}/{QUARANTINE_TABLE}", batch_id, run=run)
         finally:
             batch.unpersist()
 
@@ -76,7 +79,20 @@ def start_outputs(
     ]
 
 
-def finish(queries: list[StreamingQuery]) -> None:
-    """Wait for queries that stop by themselves; the first failure is raised."""
+def finish(queries: list[StreamingQuery], allow_late: bool = True) -> int:
+    """Wait for queries that stop by themselves; the first failure is raised.
+
+    Returns how many rows came after the watermark and were dropped, as far as
+    the queries' recent progress tells; with ``allow_late=False`` any is an error.
+    """
     for query in queries:
         query.awaitTermination()
+    late = sum(
+        operator["numRowsDroppedByWatermark"]
+        for query in queries
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+    if late and not allow_late:
+        raise ValueError(f"{late} rows came after the watermark")
+    return late

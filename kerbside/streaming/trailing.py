@@ -126,7 +126,8 @@ def trailing_mean_stream(
     passages: DataFrame,
     window_ms: int = WINDOW_MS,
     include_start: bool = True,
-    watermark_delay: str = "0 seconds",
+    *,
+    watermark_delay: str,
     key: str = "highway_id",
 ) -> DataFrame:
     """Streaming form of the trailing mean, in append mode.

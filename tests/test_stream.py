@@ -49,7 +49,7 @@ def arriving(spark, folder):
 
 
 def run(spark, folder, **options):
-    means = trailing_mean_stream(arriving(spark, folder), **options)
+    means = trailing_mean_stream(arriving(spark, folder), **{"watermark_delay": "0 seconds"} | options)
     query = write_stream(means, f"{folder}/out", f"{folder}/checkpoint")
     finish([query])
     return query
@@ -116,7 +116,7 @@ def test_failed_batch_is_replayed_without_duplicates(spark, folder):
             raise RuntimeError("sink lost after writing")
 
     def start(sink):
-        means = trailing_mean_stream(arriving(spark, folder))
+        means = trailing_mean_stream(arriving(spark, folder), watermark_delay="0 seconds")
         writer = means.writeStream.outputMode("append").foreachBatch(sink)
         return writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
@@ -144,7 +144,7 @@ def test_fork_writes_detail_averages_and_quarantine(spark, folder):
         return rows.withColumn("speed", rows.speed + 1)
 
     tables = f"{folder}/tables"
-    finish(start_outputs(decoded, tables, f"{folder}/checkpoints", transform=faster))
+    finish(start_outputs(decoded, tables, f"{folder}/checkpoints", watermark_delay="0 seconds", transform=faster))
     detail = read_table(spark, f"{tables}/traffic_detailed").collect()
     assert sorted((r.highway_id, r.speed) for r in detail) == [(1, 31.0), (12, 11.0), (12, 21.0)]
     means = read_table(spark, f"{tables}/traffic_averages", AVERAGES).collect()

@@ -23,17 +23,17 @@ def averages(spark, *rows):
 
 def test_replayed_batch_replaces_itself(spark, path):
     first = averages(spark, ("0", 1.0, T), ("1", 2.0, T))
-    tables.write_batch(first, path, 0)
-    tables.write_batch(averages(spark, ("0", 3.0, datetime(2025, 2, 1))), path, 1)
+    tables.write_batch(first, path, 0, run="a")
+    tables.write_batch(averages(spark, ("0", 3.0, datetime(2025, 2, 1))), path, 1, run="a")
     before = sorted(map(tuple, tables.read_table(spark, path, AVERAGES).collect()))
-    tables.write_batch(first.repartition(3), path, 0)
+    tables.write_batch(first.repartition(3), path, 0, run="a")
     assert sorted(map(tuple, tables.read_table(spark, path, AVERAGES).collect())) == before
     assert len(before) == 3
 
 
 def test_new_column_is_null_in_old_rows(spark, path):
-    tables.write_batch(spark.createDataFrame([(1,)], "a int"), path, 0)
-    tables.write_batch(spark.createDataFrame([(2, "x")], "a int, b string"), path, 1)
+    tables.write_batch(spark.createDataFrame([(1,)], "a int"), path, 0, run="a")
+    tables.write_batch(spark.createDataFrame([(2, "x")], "a int, b string"), path, 1, run="a")
     got = tables.read_table(spark, path)
     assert got.columns == ["a", "b"]
     assert sorted(map(tuple, got.collect())) == [(1, None), (2, "x")]
@@ -57,7 +57,7 @@ def test_append_new_keeps_unknown_keys(spark):
 
 
 def test_partitioned_batch_reads_back(spark, path):
-    tables.write_batch(averages(spark, ("0", 1.0, T), ("1", 2.0, T)), path, 0, ("highway_id",))
+    tables.write_batch(averages(spark, ("0", 1.0, T), ("1", 2.0, T)), path, 0, ("highway_id",), run="a")
     got = tables.read_table(spark, path, AVERAGES).collect()
     assert sorted((r.highway_id, r.avg_speed) for r in got) == [("0", 1.0), ("1", 2.0)]
 
