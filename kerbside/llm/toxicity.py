@@ -145,7 +145,8 @@ def held_out(column: str = "doc_id"):
 def _featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         made = [[i for t in sorted(tokens(x)) for i in features(t)] for x in rows["text"]]
-        yield pd.DataFrame({"use": rows["use"], "index": made})
+        packed = [np.array(m, np.int32).tobytes() for m in made]
+        yield pd.DataFrame({"use": rows["use"], "index": packed})
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -166,10 +167,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     ids = parts[0].unionByName(parts[1]).unionByName(parts[2])
     # At most POSITIVES + UNLABELLED + CALIBRATING ids are broadcast.
     chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids), "doc_id")
-    made = chosen.mapInPandas(_featurise, "use string, index array<int>").toPandas()
-    made["key"] = [(zlib.crc32(np.asarray(i).tobytes()), len(i)) for i in made["index"]]
+    made = chosen.mapInPandas(_featurise, "use string, index binary").toPandas()
+    made["key"] = [(zlib.crc32(i), len(i)) for i in made["index"]]
     made = made.sort_values(["use", "key"])  # rows arrive in any order
-    arrays = {u: [np.asarray(i, np.int64) for i in rows["index"]] for u, rows in made.groupby("use")}
+    arrays = {u: [np.frombuffer(i, np.int32) for i in rows["index"]] for u, rows in made.groupby("use")}
     model = fit(arrays.get("positive", []), arrays.get("unlabelled", []), prior)
     clean, toxic = arrays.get("mark0", []), arrays.get("mark1", [])
     return calibrated(model, clean + toxic, np.repeat([0.0, 1.0], [len(clean), len(toxic)]))
