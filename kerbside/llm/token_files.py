@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from kerbside.llm.common import id_splits, range_of, shuffle_partitions, text_of
 from kerbside.session import shared_dir
 
 END_ID = 1
-REMEMBERED = 800_000
+REMEMBERED = 1_000_000
 RECORD_HEAD = struct.Struct("<BqB")
 FRAME = struct.Struct("<QI")
 INDEX = np.dtype([("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
@@ -178,19 +179,24 @@ def word_parts(word: str) -> tuple[str, ...]:
 def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> tuple[list[bytes], int]:
     """Ids of each text with the end id, as little-endian bytes, and bytes per id."""
     made, kind = _tokenizer(path)
+    code = "H" if kind == "<u2" else "I"
     split = [t.split(" ") if "\n" not in t and "\t" not in t else t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    new = {w: word_parts(w) for found in split for w in found if w not in _words}
-    cores = list({p for parts in new.values() for p in parts if p not in _words})
+    new = {w: word_parts(w) for w in set().union(*split) - _words.keys()}
+    cores = {p for parts in new.values() for p in parts} - _words.keys()
+    added = [*(cores - new.keys()), *new]
+    cores = list(cores)
     for at in range(0, len(cores), 10_000):
         part = cores[at : at + 10_000]
         for word, got in zip(part, made.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            _words[word] = np.array(got.ids, kind).tobytes()
+            _words[word] = array(code, got.ids).tobytes()
     for word, parts in new.items():
-        _words[word] = b"".join([_words[p] for p in parts])
-    end = np.array([end_id], kind).tobytes()
+        if parts != (word,):
+            _words[word] = b"".join([_words[p] for p in parts])
+    end = array(code, [end_id]).tobytes()
     ids = [b"".join(map(_words.__getitem__, found)) + end for found in split]
-    if len(_words) > REMEMBERED:
-        _words.clear()
+    if len(_words) > REMEMBERED:  # what was seen first is frequent: keep that, forget the rest
+        for word in added:
+            del _words[word]
     return ids, np.dtype(kind).itemsize
 
 
