@@ -8,21 +8,20 @@ the tokens, little-endian. Beside each shard lies an index with the offset,
 length and number of tokens of every record, for reads in any order.
 
 Texts are encoded where they are read and only token ids are shuffled. White
-space separates tokens in this vocabulary, so each distinct word is encoded
-once by the library and remembered by the worker; a text's ids are those of
-its words.
+space separates tokens in this vocabulary, so a text's ids are those of its
+words: the distinct words of some megabytes of text are encoded by the library,
+and put in place for every text.
 """
 
 from __future__ import annotations
 
 import struct
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,6 @@ from kerbside.llm.common import id_splits, range_of, shuffle_partitions, text_of
 from kerbside.session import shared_dir
 
 END_ID = 1
-REMEMBERED = 1_000_000
 RECORD_HEAD = struct.Struct("<BqB")
 FRAME = struct.Struct("<QI")
 INDEX = np.dtype([("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
@@ -146,11 +144,19 @@ def unframe(data: memoryview | bytes, offsets: np.ndarray, lengths: np.ndarray)
 
 # --- encoding ----------------------------------------------------------------
 
-_words: dict[str, bytes] = {}
 _library: dict = {}
+# Bytes of text whose distinct words are encoded together.
+CHUNK_BYTES = 32 << 20
+# Words that the library encodes as one text, and how many such texts at a time.
+JOINED, TEXTS = 1_000, 50
+# How the last token of a piece ends in this vocabulary.
+END_MARK = "</w>"
+# A word of ASCII letters with marks after them: two pieces.
+MARKED = r"^[A-Za-z]+[!-/:-@\[-`{-~]+$"
 
 
 def _tokenizer(path: str):
+    """The library's tokenizer, the type of its ids, and which ids end a piece."""
     if path not in _library:
         import os
 
@@ -158,55 +164,116 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _library.clear()
-        _words.clear()
         made = Tokenizer.from_file(path)
         made.encode_special_tokens = True
-        _library[path] = made, "<u2" if made.get_vocab_size() <= 1 << 16 else "<u4"
+        vocab = made.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[i for token, i in vocab.items() if token.endswith(END_MARK)]] = True
+        _library[path] = made, "<u2" if len(ends) <= 1 << 16 else "<u4", ends
     return _library[path]
 
 
-def word_parts(word: str) -> tuple[str, ...]:
-    """Strings that encode to the ids of ``word`` and are shared by more words.
+def _joined_ids(words: pa.Array, pieces: int, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ids of runs of words encoded as one text: first word, one past the last, ids, ids per word.
 
-    The vocabulary ignores case and splits letters from a point or comma.
+    Each of the words has at least ``pieces`` pieces. A text whose pieces are
+    exactly as many as that is cut apart by them; others are left out.
     """
-    if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
-        core = word[:-1]
-        return (core.lower() if core.isascii() else core, word[-1])
-    return (word.lower() if word.isascii() and word.isalpha() else word,)
+    made, kind, ends = _tokenizer(path)
+    cuts = [*range(0, len(words), JOINED), len(words)]
+    lists = pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), words)
+    texts = pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist()
+    for first in range(0, len(texts), TEXTS):
+        coded = made.encode_batch_fast(texts[first : first + TEXTS], add_special_tokens=False)
+        for k, got in enumerate(coded, first):
+            ids = np.array(got.ids, kind)
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) == pieces * (cuts[k + 1] - cuts[k]):
+                yield cuts[k], cuts[k + 1], ids, np.diff(stops[pieces - 1 :: pieces], prepend=0)
+
+
+def word_ids(words: pa.Array, path: str) -> pa.Array:
+    """Ids of each word, as little-endian bytes.
+
+    Words of letters, and of ASCII letters with marks after them, are encoded
+    many at a time; the rest, and what could not be cut apart, one by one.
+    """
+    made, kind, _ = _tokenizer(path)
+    letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+    marked = pc.match_substring_regex(words, MARKED).to_numpy(zero_copy_only=False)
+    left = np.ones(len(words), bool)
+    places, found, sizes = [], [], []
+    for pieces, chosen in ((1, letters), (2, marked & ~letters)):
+        at = np.flatnonzero(chosen)
+        for a, b, ids, lengths in _joined_ids(words.take(pa.array(at)), pieces, path):
+            places.append(at[a:b])
+            found.append(ids)
+            sizes.append(lengths)
+            left[at[a:b]] = False
+    rest = np.flatnonzero(left)
+    for start in range(0, len(rest), JOINED):
+        at = rest[start : start + JOINED]
+        coded = made.encode_batch_fast(words.take(pa.array(at)).to_pylist(), add_special_tokens=False)
+        each = [np.array(got.ids, kind) for got in coded]
+        places.append(at)
+        found.extend(each)
+        sizes.append(np.array([len(ids) for ids in each], np.int64))
+    if not places:
+        return pa.array([], pa.large_binary())
+    stops = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64) * np.dtype(kind).itemsize
+    buffers = [None, pa.py_buffer(stops.tobytes()), pa.py_buffer(np.concatenate(found).tobytes())]
+    made_ids = pa.Array.from_buffers(pa.large_binary(), len(words), buffers)
+    return made_ids.take(pa.array(np.argsort(np.concatenate(places))))
+
+
+def encode_array(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[list[bytes], int]:
+    """Ids of each text with the end id, as little-endian bytes, and bytes per id.
+
+    Arrow splits the texts and numbers their distinct words; the ids of all words
+    then lie one after another in one buffer, which is cut at the texts' ends.
+    """
+    kind = _tokenizer(path)[1]
+    split = pc.ascii_split_whitespace(texts)
+    numbered = split.flatten().dictionary_encode()
+    placed = word_ids(numbered.dictionary, path).take(numbered.indices)
+    sizes = pc.binary_length(placed).to_numpy(zero_copy_only=False)
+    stops = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    cuts = stops[split.offsets.to_numpy()].tolist()
+    data = memoryview(placed.buffers()[2] or b"")
+    end = np.array([end_id], kind).tobytes()
+    return [bytes(data[a:b]) + end for a, b in zip(cuts, cuts[1:], strict=False)], np.dtype(kind).itemsize
 
 
 def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> tuple[list[bytes], int]:
-    """Ids of each text with the end id, as little-endian bytes, and bytes per id."""
-    made, kind = _tokenizer(path)
-    code = "H" if kind == "<u2" else "I"
-    split = [t.split(" ") if "\n" not in t and "\t" not in t else t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    new = {w: word_parts(w) for w in set().union(*split) - _words.keys()}
-    cores = {p for parts in new.values() for p in parts} - _words.keys()
-    added = [*(cores - new.keys()), *new]
-    cores = list(cores)
-    for at in range(0, len(cores), 10_000):
-        part = cores[at : at + 10_000]
-        for word, got in zip(part, made.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            _words[word] = array(code, got.ids).tobytes()
-    for word, parts in new.items():
-        if parts != (word,):
-            _words[word] = b"".join([_words[p] for p in parts])
-    end = array(code, [end_id]).tobytes()
-    ids = [b"".join(map(_words.__getitem__, found)) + end for found in split]
-    if len(_words) > REMEMBERED:  # what was seen first is frequent: keep that, forget the rest
-        for word in added:
-            del _words[word]
-    return ids, np.dtype(kind).itemsize
+    return encode_array(pa.array(texts, pa.large_string()), path, end_id)
 
 
 def _encoder(path: str):
-    @F.pandas_udf("ids binary, width int")
-    def encoded(texts: pd.Series) -> pd.DataFrame:
-        ids, width = encode_texts(list(texts), path)
-        return pd.DataFrame({"ids": ids, "width": width})
+    """Replaces ``text`` by ``width`` and ``ids``, a bounded number of bytes at a time."""
+
+    def coded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        ids, width = encode_array(rows["text"].cast(pa.large_string()).combine_chunks(), path)
+        out = {
+            "shard": rows["shard"].combine_chunks(),
+            "doc_id": rows["doc_id"].combine_chunks(),
+            "width": pa.array([width] * len(ids), pa.int32()),
+            "ids": pa.array(ids, pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(out)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= CHUNK_BYTES:
+                yield coded(held)
+                held, size = [], 0
+        if held:
+            yield coded(held)
 
-    return encoded
+    return encode
 
 
 # --- files -------------------------------------------------------------------
@@ -281,11 +348,12 @@ def write_tokens(
     store, root = _open(folder)
     store.create_dir(root, recursive=True)
     splits = id_splits(docs, "doc_id", shards or 2 * shuffle_partitions(spark))
-    coded = docs.select(
+    rows = docs.select(
         (range_of(F.col("doc_id"), splits) + 1).cast("long").alias("shard"),
-        "doc_id",
-        _encoder(tokenizer)(text_of()).alias("coded"),
-    ).select("shard", "doc_id", "coded.width", "coded.ids")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_of().alias("text"),
+    )
+    coded = rows.mapInArrow(_encoder(tokenizer), "shard long, doc_id long, width int, ids binary")
     dealt = coded.repartition("shard").sortWithinPartitions("shard", "doc_id", "ids")
     written = dealt.mapInArrow(_writer(folder), "shard long, n_records long, n_tokens long")
     # One row per shard. Counted once, so that no later plan writes the files again.
