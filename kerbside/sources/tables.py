@@ -78,12 +78,14 @@ def align_columns(batch: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def append_new(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``batch`` whose key the target does not hold yet.
+    """One row per key of ``batch`` that the target does not hold yet; NULL keys are equal.
 
     For targets that cannot replace a batch, such as a database table: read the
     keys that lie in the batch's time range and append only what is new.
     """
-    return batch.join(existing.select(*keys), keys, "left_anti")
+    held = existing.select(*[F.col(k).alias(f"held__{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"held__{k}")) for k in keys]
+    return batch.dropDuplicates(keys).join(held, same, "left_anti")
 
 
 def jdbc_options(url: str, table: str, user: str, password: str, connections: int = 8) -> dict[str, str]:

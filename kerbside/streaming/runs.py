@@ -13,14 +13,15 @@ from kerbside.sources.tables import (
     DETAIL_TABLE,
     QUARANTINE_TABLE,
     batch_writer,
-    run_of,
-    write_batch,
 )
 from kerbside.streaming.trailing import trailing_mean_stream
 
+Sink = Callable[[DataFrame, int], None]
+TABLES = (DETAIL_TABLE, AVERAGES_TABLE, QUARANTINE_TABLE)
+
 
 def _start(
-    df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None
+    df: DataFrame, sink: Sink, checkpoint: str, interval: str | None
 ) -> StreamingQuery:
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(sink)
@@ -48,34 +49,41 @@ def start_outputs(
     watermark_delay: str,
     interval: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    sinks: dict[str, Sink] | None = None,
 ) -> list[StreamingQuery]:
     """Fork one decoded record stream to the detail, averages and quarantine tables.
 
     Two queries with their own progress: the stateless one writes each batch's
     usable and quarantined rows, the stateful one the means per record key.
-    ``transform`` is applied to the usable rows before both tables.
+    ``transform`` is applied to the usable rows before both tables. A table goes
+    to its folder under ``tables``, or to its own function in ``sinks``, such as
+    :func:`kerbside.sources.tables.jdbc_batch_writer`; a batch may reach it twice.
     """
+    unknown = set(sinks or {}) - set(TABLES)
+    if unknown:
+        raise ValueError(f"no such tables: {sorted(unknown)}")
     alter = transform or (lambda rows: rows)
+    sink = {name: batch_writer(f"{tables}/{name}") for name in TABLES} | (sinks or {})
 
     def write_rows(df: DataFrame, batch_id: int) -> None:
         batch = df.persist()
         try:
             good, bad = split_bad_times(batch)
-            run = run_of(df)
-            write_batch(traffic_detailed(alter(good)), f"{tables}/{DETAIL_TABLE}", batch_id, run=run)
-            write_batch(bad, f"{tables}/{QUARANTINE_TABLE}", batch_id, run=run)
+            sink[DETAIL_TABLE](traffic_detailed(alter(good)), batch_id)
+            sink[QUARANTINE_TABLE](bad, batch_id)
         finally:
             batch.unpersist()
 
     means = trailing_mean_stream(
         alter(split_bad_times(decoded)[0]), watermark_delay=watermark_delay, key="road"
     )
-    sinks = {
+    streams = {
         DETAIL_TABLE: (decoded, write_rows),
-        AVERAGES_TABLE: (means, batch_writer(f"{tables}/{AVERAGES_TABLE}")),
+        AVERAGES_TABLE: (means, sink[AVERAGES_TABLE]),
     }
     return [
-        _start(df, sink, f"{checkpoints}/{name}", interval) for name, (df, sink) in sinks.items()
+        _start(df, write, f"{checkpoints}/{name}", interval)
+        for name, (df, write) in streams.items()
     ]
 
 

@@ -152,6 +152,19 @@ def test_fork_writes_detail_averages_and_quarantine(spark, folder):
     bad = read_table(spark, f"{tables}/quarantine").collect()
     assert [(r.road, r.reason) for r in bad] == [("12", "malformed time")]
 
+    taken = {"traffic_averages": [], "quarantine": []}
+    sinks = {name: lambda df, _, rows=rows: rows.extend(df.collect()) for name, rows in taken.items()}
+    other = f"{folder}/other"
+    finish(start_outputs(decoded, other, f"{other}/checkpoints", watermark_delay="0 seconds", sinks=sinks))
+    assert sorted((r.highway_id, r.avg_speed) for r in taken["traffic_averages"]) == [
+        ("1", 30.0), ("12", 10.0), ("12", 15.0),
+    ]
+    assert [r.reason for r in taken["quarantine"]] == ["malformed time"]
+    assert read_table(spark, f"{other}/traffic_detailed").count() == 3
+    assert not os.path.exists(f"{other}/quarantine")
+    with pytest.raises(ValueError):
+        start_outputs(decoded, other, other, watermark_delay="0 seconds", sinks={"x": print})
+
 
 def test_counts_close_bucket_by_bucket(spark, folder):
     events = views.events(spark, SF_DIR)

@@ -56,6 +56,13 @@ def test_append_new_keeps_unknown_keys(spark):
     assert [r.highway_id for r in new.collect()] == ["1"]
 
 
+def test_append_new_takes_each_key_once_and_null_as_a_key(spark):
+    held = averages(spark, (None, 1.0, T))
+    batch = averages(spark, (None, 1.0, T), ("1", 1.0, T), ("1", 1.0, T))
+    new = tables.append_new(batch, held, ["highway_id", "window_end"])
+    assert [r.highway_id for r in new.collect()] == ["1"]
+
+
 def test_partitioned_batch_reads_back(spark, path):
     tables.write_batch(averages(spark, ("0", 1.0, T), ("1", 2.0, T)), path, 0, ("highway_id",), run="a")
     got = tables.read_table(spark, path, AVERAGES).collect()
