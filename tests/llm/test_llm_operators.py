@@ -332,6 +332,26 @@ def test_words_encode_as_their_text(text):
     assert np.frombuffer(got[0], f"<u{width}").tolist() == want
 
 
+def test_texts_of_many_kinds_encode_as_the_library_does():
+    """Letters, marks, letters that gain a mark in lower case, special names, white space."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    texts = [
+        "İstanbul İ, x", "don't 's dogs' ',' a<|endoftext|>b <|endoftext|>", "e\u0301a, H\u0331 h\u0331",
+        "각 한글, ß. ſ", "x" * 5000 + "...'' y", "中文，字。 ab", "ª º ⅷ ² 9a a9,", " a  b\r\n\x0bc\x85d e",
+        "", "  ", "\t\n", " ".join(f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]} W{k}, é{k}" for k in range(3000)),
+    ]
+    made = Tokenizer.from_file(path)
+    made.encode_special_tokens = True
+    got, width = token_files.encode_texts(texts, path)
+    for text, raw in zip(texts, got, strict=True):
+        want = made.encode(text, add_special_tokens=False).ids + [token_files.END_ID]
+        assert np.frombuffer(raw, f"<u{width}").tolist() == want, text[:40]
+    assert token_files.encode_texts([], path)[0] == []
+
+
+
 # --- 8 chunk dedup -----------------------------------------------------------
 
 
