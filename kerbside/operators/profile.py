@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ ROADS = [
     (3, "Leipziger Straße", 0.21, [(20, 4, 25, 42), (5, 8, 70, 40), (14, 16, 60, 38), (0, 24, 45, 41)]),
 ]
 
+# First and last day of a profile.
+Span = tuple[date | str, date | str]
+
 RULES = T.StructType(
     [
         T.StructField("highway_id", T.IntegerType()),
@@ -66,16 +71,19 @@ def hourly_profile(rules: DataFrame) -> DataFrame:
     )
 
 
-def _on_every_day(rows: DataFrame, passages: DataFrame) -> DataFrame:
-    """Each row once for every day the passages span, as ``day``.
+def _on_every_day(rows: DataFrame, passages: DataFrame, span: Span | None) -> DataFrame:
+    """Each row once for every day of ``span``, as ``day``.
 
-    The span is two scalar subqueries. What follows unfolds a day to its
-    minutes, so the rows are dealt out by (road, day) first; the number of
+    Without it, for every day the passages span: two scalar subqueries, which
+    scan their times once more. What follows unfolds a day to its minutes, so the rows are dealt out by (road, day) first; the number of
     partitions is given, because adaptive execution would judge by the small
     size before the unfolding.
     """
-    first = passages.agg(F.min(F.to_date("timestamp")).alias("d")).scalar()
-    last = passages.agg(F.max(F.to_date("timestamp")).alias("d")).scalar()
+    if span is None:
+        first = passages.agg(F.min(F.to_date("timestamp")).alias("d")).scalar()
+        last = passages.agg(F.max(F.to_date("timestamp")).alias("d")).scalar()
+    else:
+        first, last = (F.lit(day).cast("date") for day in span)
     days = F.explode(F.sequence(first, last, F.expr("interval 1 day")))
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.withColumn("day", days).repartition(tasks, "highway_id", "day")
@@ -86,19 +94,23 @@ def _minutes(start: Column, count: int) -> Column:
     return F.explode(F.sequence(start, last, F.expr("interval 1 minute")))
 
 
-def minute_spine(roads: DataFrame, passages: DataFrame) -> DataFrame:
-    """Every minute of every day the passages span, for every road."""
-    days = _on_every_day(roads.select("highway_id").distinct(), passages)
+def minute_spine(roads: DataFrame, passages: DataFrame, span: Span | None = None) -> DataFrame:
+    """Every minute of every day of ``span``, or that the passages span, for every road.
+
+    One wrong time makes the passages' own span long: give ``span`` where times
+    are not checked.
+    """
+    days = _on_every_day(roads.select("highway_id").distinct(), passages, span)
     return days.select("highway_id", _minutes(F.col("day").cast("timestamp"), 1440).alias("minute"))
 
 
-def expected_profile(rules: DataFrame, passages: DataFrame) -> DataFrame:
+def expected_profile(rules: DataFrame, passages: DataFrame, span: Span | None = None) -> DataFrame:
     """Expected cars per minute and speed for every road and minute of the spine.
 
     Each hour's rule is unfolded to the 60 minutes it holds for, which gives
     the rows of the spine with their rule, without a join.
     """
-    hours = _on_every_day(hourly_profile(rules), passages)
+    hours = _on_every_day(hourly_profile(rules), passages, span)
     start = F.col("day").cast("timestamp") + F.make_dt_interval(hours=F.col("hour"))
     return hours.select(
         "highway_id",
@@ -131,14 +143,14 @@ def volume_per_minute(passages: DataFrame, spine: DataFrame) -> DataFrame:
     )
 
 
-def profile_deviation(passages: DataFrame, rules: DataFrame) -> DataFrame:
+def profile_deviation(passages: DataFrame, rules: DataFrame, span: Span | None = None) -> DataFrame:
     """Observed against expected per road and minute.
 
     Deviations are observed minus expected. A minute without passages counts
     as 0 cars and has no speed or share to compare; a road without rules has
-    its observed values and nothing expected.
+    its observed values and nothing expected, and so has a minute outside ``span``.
     """
-    expected = expected_profile(rules, passages)
+    expected = expected_profile(rules, passages, span)
     observed = minute_totals(passages)
     cars = F.coalesce("cars", F.lit(0))
     return expected.join(observed, ["highway_id", "minute"], "full").select(

@@ -33,9 +33,9 @@ def split_bad_times(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def traffic_detailed(decoded: DataFrame) -> DataFrame:
-    """The five columns of the detail table."""
-    return decoded.select("timestamp", "highway_id", "plate", "speed", "ev")
+def traffic_detailed(decoded: DataFrame, *added: str) -> DataFrame:
+    """The five columns of the detail table, and any others that are asked for."""
+    return decoded.select("timestamp", "highway_id", "plate", "speed", "ev", *added)
 
 
 def plate_violations(passages: DataFrame) -> DataFrame:

@@ -7,11 +7,18 @@ leaves the table as it was; no existing row is read or rewritten for that. A
 query that starts with a new checkpoint counts its batches from 0 again, but as
 another run, so it never replaces what an earlier one stored. Rows that both
 have written are told apart on read, by their key.
+
+Batches may be split by day of event time, so that a read of some days opens
+only their files. The schemas of a table's batches lie beside the data, so that
+a read need not open every file to learn the columns.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,18 +32,62 @@ QUARANTINE_TABLE = "quarantine"
 
 
 QUERY_ID = "sql.streaming.queryId"
+DAY = "table_day"
+SCHEMAS = "_schemas"
 
 
 def write_batch(
-    df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = (), *, run: str
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    partition_by: tuple[str, ...] = (),
+    *,
+    run: str,
+    day_of: str | None = None,
+    known: set[str] | None = None,
 ) -> None:
-    """Write one micro-batch; the same ``batch_id`` of the same ``run`` replaces its earlier output."""
+    """Write one micro-batch; the same ``batch_id`` of the same ``run`` replaces its earlier output.
+
+    ``day_of`` names the time column whose day splits the batch; all batches of a
+    table are split alike. The schema is noted before the data, unless ``known``
+    holds it already.
+    """
+    known = set() if known is None else known
+    if df.schema.json() not in known:
+        _note_schema(df, path, run)
+        known.add(df.schema.json())
+    if day_of is not None:
+        df = df.withColumn(DAY, F.to_date(day_of))
+        partition_by = (DAY, *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/run=id-{run}/batch_id={batch_id}")
 
 
+def _note_schema(df: DataFrame, path: str, run: str) -> None:
+    text = df.schema.json()
+    name = hashlib.sha256(text.encode()).hexdigest()[:16]
+    note = df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1)
+    note.write.mode("overwrite").text(f"{path}/{SCHEMAS}/run=id-{run}/schema=id-{name}")
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """All columns that batches of a table have had, oldest first; a changed type is an error.
+
+    Reads one line per run and schema, however many files the table has.
+    """
+    notes = spark.read.text(f"{path}/{SCHEMAS}").select("value", "_metadata.file_modification_time")
+    first = notes.groupBy("value").agg(F.min("file_modification_time").alias("since"))
+    fields: dict[str, T.StructField] = {}
+    for row in first.orderBy("since", "value").collect():
+        for field in T.StructType.fromJson(json.loads(row["value"])):
+            held = fields.setdefault(field.name, T.StructField(field.name, field.dataType))
+            if held.dataType != field.dataType:
+                raise ValueError(f"column {field.name} is {held.dataType} and {field.dataType}")
+    return T.StructType(list(fields.values()))
+
+
 def run_of(batch: DataFrame) -> str:
     """The id of the streaming query that runs this micro-batch, the same after a restart."""
     found = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
@@ -45,9 +96,16 @@ def run_of(batch: DataFrame) -> str:
     return found
 
 
-def batch_writer(path: str, partition_by: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    path: str, partition_by: tuple[str, ...] = (), *, day_of: str | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends to the table at ``path``."""
-    return lambda df, batch_id: write_batch(df, path, batch_id, partition_by, run=run_of(df))
+    known: set[str] = set()
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, path, batch_id, partition_by, run=run_of(df), day_of=day_of, known=known)
+
+    return write
 
 
 def read_table(
@@ -55,19 +113,22 @@ def read_table(
     path: str,
     schema: T.StructType | None = None,
     keys: list[str] | None = None,
+    days: tuple[date | str, date | str] | None = None,
 ) -> DataFrame:
     """All batches of all runs of a table; one row per key where ``keys`` are given.
 
-    Columns that a batch lacks read as NULL. With ``schema`` the columns are
-    known; without it the footers of all files are merged by a Spark job.
+    Columns that a batch lacks read as NULL. Without ``schema`` the columns are
+    all that the table has had. ``days``, first and last, reads the files of these
+    days only, from a table that is split by day.
     """
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        places = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
-        reader = reader.schema(T.StructType([*schema.fields, *places]))
-    else:
-        reader = reader.option("mergeSchema", True)
-    rows = reader.parquet(path).drop("run", "batch_id")
+    columns = table_schema(spark, path) if schema is None else schema
+    places = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+    reader = spark.read.option("basePath", path).schema(T.StructType([*columns.fields, *places]))
+    rows = reader.parquet(path)
+    if days is not None:
+        first, last = (F.lit(day).cast("date") for day in days)
+        rows = rows.where(F.col(DAY).between(first, last))
+    rows = rows.drop("run", "batch_id", DAY)
     return rows if keys is None else rows.dropDuplicates(keys)
 
 

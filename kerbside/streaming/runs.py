@@ -18,6 +18,7 @@ from kerbside.streaming.trailing import trailing_mean_stream
 
 Sink = Callable[[DataFrame, int], None]
 TABLES = (DETAIL_TABLE, AVERAGES_TABLE, QUARANTINE_TABLE)
+DAY_OF = {DETAIL_TABLE: "timestamp", AVERAGES_TABLE: "window_end"}
 
 
 def _start(
@@ -55,7 +56,8 @@ def start_outputs(
 
     Two queries with their own progress: the stateless one writes each batch's
     usable and quarantined rows, the stateful one the means per record key.
-    ``transform`` is applied to the usable rows before both tables. A table goes
+    ``transform`` is applied to the usable rows before both tables; columns that it
+    adds go to the detail table too. Detail rows and means lie by day. A table goes
     to its folder under ``tables``, or to its own function in ``sinks``, such as
     :func:`kerbside.sources.tables.jdbc_batch_writer`; a batch may reach it twice.
     """
@@ -63,13 +65,17 @@ def start_outputs(
     if unknown:
         raise ValueError(f"no such tables: {sorted(unknown)}")
     alter = transform or (lambda rows: rows)
-    sink = {name: batch_writer(f"{tables}/{name}") for name in TABLES} | (sinks or {})
+    sink = {
+        name: batch_writer(f"{tables}/{name}", day_of=DAY_OF.get(name)) for name in TABLES
+    } | (sinks or {})
 
     def write_rows(df: DataFrame, batch_id: int) -> None:
         batch = df.persist()
         try:
             good, bad = split_bad_times(batch)
-            sink[DETAIL_TABLE](traffic_detailed(alter(good)), batch_id)
+            rows = alter(good)
+            added = [name for name in rows.columns if name not in good.columns]
+            sink[DETAIL_TABLE](traffic_detailed(rows, *added), batch_id)
             sink[QUARANTINE_TABLE](bad, batch_id)
         finally:
             batch.unpersist()

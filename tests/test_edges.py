@@ -125,12 +125,12 @@ def test_no_shuffle_by_road_alone(spark):
 
 def test_roads_without_rules_are_kept(spark):
     rows = passages(spark, (77, T0, "A", 50.0, True))
-    found = profile.profile_deviation(rows, profile.rules_table(spark)) if hasattr(profile, "rules_table") else None
+    found = profile.profile_deviation(rows, profile.rule_table(spark))
     roads = spark.createDataFrame([(0,)], "highway_id int")
     spine = profile.minute_spine(roads, rows)
     volume = profile.volume_per_minute(rows, spine)
     assert volume.where("highway_id = 77").first().cars == 1 and volume.count() == 1441
-    assert found is None or found.where("highway_id = 77").first().base_rate is None
+    assert found.where("highway_id = 77").first().base_rate is None
 
 
 def test_a_speed_that_is_text_is_set_aside(spark):

@@ -97,3 +97,14 @@ def test_spine_is_never_broadcast(spark):
     plan = profile.profile_deviation(rows, profile.rule_table(spark))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BuildLeft" not in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_given_span_bounds_the_profile_and_keeps_what_lies_outside(spark):
+    rows = passages(spark, (0, 0, 10.0, False), (0, -50 * 365 * 86_400, 20.0, False))
+    rules = profile.rule_table(spark)
+    spine = profile.minute_spine(rules, rows, ("2025-01-31", "2025-01-31"))
+    assert spine.count() == 4 * 1440
+    compared = profile.profile_deviation(rows, rules, ("2025-01-31", "2025-01-31"))
+    assert compared.count() == 4 * 1440 + 1
+    outside = compared.where(F.col("base_rate").isNull()).first()
+    assert (outside.cars, outside.avg_speed) == (1, 20.0)

@@ -6,6 +6,7 @@ import tempfile
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.operators.log_counts import counts_by_label
 from kerbside.operators.trailing import trailing_mean
@@ -141,12 +142,13 @@ def test_fork_writes_detail_averages_and_quarantine(spark, folder):
     decoded = decode_records(read_record_files(spark, f"{folder}/records"))
 
     def faster(rows):
-        return rows.withColumn("speed", rows.speed + 1)
+        return rows.withColumn("speed", rows.speed + 1).withColumn("lane", F.lit(2))
 
     tables = f"{folder}/tables"
     finish(start_outputs(decoded, tables, f"{folder}/checkpoints", watermark_delay="0 seconds", transform=faster))
     detail = read_table(spark, f"{tables}/traffic_detailed").collect()
-    assert sorted((r.highway_id, r.speed) for r in detail) == [(1, 31.0), (12, 11.0), (12, 21.0)]
+    assert sorted((r.highway_id, r.speed, r.lane) for r in detail) == [(1, 31.0, 2), (12, 11.0, 2), (12, 21.0, 2)]
+    assert read_table(spark, f"{tables}/traffic_detailed", days=("2025-01-30", "2025-01-30")).count() == 0
     means = read_table(spark, f"{tables}/traffic_averages", AVERAGES).collect()
     assert sorted((r.highway_id, r.avg_speed) for r in means) == [("1", 31.0), ("12", 11.0), ("12", 16.0)]
     bad = read_table(spark, f"{tables}/quarantine").collect()

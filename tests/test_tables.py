@@ -87,3 +87,28 @@ def test_shared_dir_is_under_the_session_setting(spark):
     first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert first != second and "/kerbside/x-" in first
     assert root is None or first.startswith(f"{root}/kerbside/")
+
+
+def test_days_are_pruned(spark, path):
+    rows = averages(spark, *[("0", float(n), datetime(2025, 1, 31 - n, 12)) for n in range(4)])
+    tables.write_batch(rows, path, 0, run="a", day_of="window_end")
+    tables.write_batch(averages(spark, ("1", 9.0, None)), path, 1, run="a", day_of="window_end")
+    some = tables.read_table(spark, path, days=("2025-01-29", "2025-01-30"))
+    assert some.columns == AVERAGES.names
+    assert sorted(r.avg_speed for r in some.collect()) == [1.0, 2.0]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "table_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert tables.read_table(spark, path, AVERAGES).count() == 5
+
+
+def test_days_of_a_table_without_days(spark, path):
+    tables.write_batch(averages(spark, ("0", 1.0, T)), path, 0, run="a")
+    with pytest.raises(Exception, match="table_day"):
+        tables.read_table(spark, path, AVERAGES, days=("2025-01-31", "2025-01-31")).collect()
+
+
+def test_changed_type_is_an_error(spark, path):
+    tables.write_batch(spark.createDataFrame([(1,)], "a int"), path, 0, run="a")
+    tables.write_batch(spark.createDataFrame([("x",)], "a string"), path, 0, run="b")
+    with pytest.raises(ValueError, match="column a"):
+        tables.read_table(spark, path)
