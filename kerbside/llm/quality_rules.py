@@ -2,10 +2,12 @@
 
 The statistics of a document form a vector. In each group (language, source)
 the minimum covariance determinant estimate of its mean and covariance is
-found by concentration steps: from the current estimate take the half (or
-more) of the rows that are nearest by Mahalanobis distance, estimate again,
-and repeat (Rousseeuw and Van Driessen, 1999). Rows beyond a fixed quantile of
-the chi-squared distribution are rejected.
+found by concentration steps: from the current estimate take the half of the
+rows that are nearest by Mahalanobis distance, estimate again, and repeat
+(Rousseeuw and Van Driessen, 1999). Several starts run side by side, as groups
+of their own: all rows, medians with median deviations, and small subsets
+chosen by hash; the one of least determinant is taken. Rows beyond a fixed
+quantile of the chi-squared distribution are rejected.
 
 Each step is one grouped sum of products, combined before the shuffle, and one
 join with the groups' estimates. The nearest half is read from a histogram of
@@ -34,13 +36,17 @@ FLOORS = (0.02, 0.1, 0.1, 0.15)
 # Words of PRIOR_LENGTH characters that the mean word length starts from: that of a few
 # words varies too much to tell anything.
 PRIOR_WORDS, PRIOR_LENGTH = 20, 5
-SUBSET = 0.75
 STEPS = 5
+# Starts from subsets of about SUBSET_ROWS rows, besides all rows and medians.
+SUBSETS, SUBSET_ROWS = 4, 10
+STARTS = 2 + SUBSETS
+# Standard deviation over median absolute deviation, for normal rows.
+MAD = 1.4826
 # 0.9999 quantile of chi-squared with 4 degrees of freedom.
 CUTOFF = 23.513
-# Consistency of a covariance from the nearest 75 % in 4 dimensions, for normal rows:
-# 0.75 / P(chi-squared with 6 degrees <= its 0.75 quantile with 4).
-CONSISTENCY = 0.75 / 0.5046
+# Consistency of a covariance from the nearest half in 4 dimensions, for normal rows:
+# 0.5 / P(chi-squared with 6 degrees <= the 0.5 quantile with 4).
+CONSISTENCY = 0.5 / 0.23707
 MIN_GROUP = 50
 # Bins of ln(squared distance), of width 1/BIN.
 BIN = 32
@@ -171,14 +177,63 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return out.select(*rows.columns, square.alias("d2"))
 
 
-def _nearest(rows: DataFrame, share: float) -> DataFrame:
-    """The nearest rows of each group: whole bins of distance until ``share`` is reached."""
+def _medians(rows: DataFrame) -> DataFrame:
+    """Per group, in the form of ``_estimates``: medians and their absolute deviations.
+
+    Features are integers of few values, so the exact medians take little memory.
+    """
+    p = len(FEATURES)
+    mid = rows.groupBy("grp").agg(*[F.median(f).alias(f"m{i}") for i, f in enumerate(FEATURES)])
+    mid = materialize(mid, "rules-medians")
+    away = [F.median(F.abs(F.col(f) - F.col(f"m{i}"))).alias(f"a{i}") for i, f in enumerate(FEATURES)]
+    got = mid.join(rows.join(mid, "grp").groupBy("grp").agg(*away), "grp")
+    unit = float(SCALE)
+    mu = [(F.col(f"m{i}") / unit).alias(f"mu{i}") for i in range(p)]
+    scale = lambda i: F.greatest(F.col(f"a{i}") * (MAD / unit), F.lit(FLOORS[i]))
+    factor = [
+        (scale(i) if i == j else F.lit(0.0)).alias(f"l{j}{i}") for i in range(p) for j in range(i, p)
+    ]
+    return got.select("grp", *mu, *factor)
+
+
+def _started(start: Column) -> Column:
+    return F.concat(start.cast("string"), F.lit(":"), F.col("grp")).alias("grp")
+
+
+def fitted(rows: DataFrame, *, steps: int = STEPS) -> DataFrame:
+    """The estimate of least determinant of each ``grp`` of written feature ``rows``."""
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    sizes = materialize(sizes, "rules-sizes")
+    every = F.greatest(F.lit(1), (F.col("size") / SUBSET_ROWS).cast("long"))
+    chosen = [
+        F.when(F.pmod(F.xxhash64(*FEATURES, F.lit(k)), every) == 0, F.lit(k))
+        for k in range(2, STARTS)
+    ]
+    subsets = rows.join(sizes, "grp").select("*", F.explode(F.array_compact(F.array(*chosen))).alias("k"))
+    estimate = _estimates(rows).withColumn("grp", _started(F.lit(0)))
+    estimate = estimate.unionByName(_medians(rows).withColumn("grp", _started(F.lit(1))))
+    estimate = estimate.unionByName(_estimates(subsets.select(_started(F.col("k")), *FEATURES)))
+    estimate = materialize(estimate, "rules-estimate")
+    starts = F.explode(F.array(*map(F.lit, range(STARTS)))).alias("k")
+    copies = rows.select("*", starts).select(_started(F.col("k")), *FEATURES)
+    for _ in range(steps):  # a start without a row has no estimate, and no distance
+        near = _nearest(_with_distance(copies, estimate).where("d2 is not null"))
+        estimate = materialize(_estimates(near), "rules-estimate")
+    spread = sum((F.log(F.col(f"l{i}{i}")) for i in range(len(FEATURES))), F.lit(0.0))
+    best = F.struct(spread.alias("spread"), *[c for c in estimate.columns])
+    best = estimate.groupBy(F.expr("substring(grp, instr(grp, ':') + 1)").alias("own")).agg(F.min(best).alias("e"))
+    kept = [F.col(f"e.{c}").alias(c) for c in estimate.columns if c != "grp"]
+    return materialize(best.select(F.col("own").alias("grp"), *kept), "rules-best")
+
+
+def _nearest(rows: DataFrame) -> DataFrame:
+    """The nearest rows of each group: whole bins of distance until half of the rows is reached."""
     bins = F.floor(F.log(F.col("d2") + 1e-6) * BIN).cast("int")
     rows = rows.withColumn("bin", bins)
     counts = rows.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))
     group = Window.partitionBy("grp")
     upto = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-    need = F.sum("n").over(group) * share
+    need = F.floor((F.sum("n").over(group) + len(FEATURES) + 1) / 2)
     taken = counts.select("grp", "bin", F.coalesce(upto, F.lit(0)).alias("below"), need.alias("need"))
     last = taken.where("below < need").groupBy("grp").agg(F.max("bin").alias("last_bin"))
     # One row per group, written, so that the join with a large group can be split.
@@ -211,10 +266,7 @@ def judge(docs: DataFrame, *, steps: int = STEPS) -> DataFrame:
     big = groups.groupBy("grp").agg(F.sum("members").alias("all")).where(F.col("all") >= MIN_GROUP)
     rows = good.join(groups, "own").join(big, "grp").select("grp", *FEATURES)
     rows = materialize(rows, "rules-rows")
-    estimate = materialize(_estimates(rows), "rules-estimate")
-    for _ in range(steps):
-        near = _nearest(_with_distance(rows, estimate), SUBSET)
-        estimate = materialize(_estimates(near), "rules-estimate")
+    estimate = fitted(rows, steps=steps)
     placed = vectors.join(groups.select("own", "grp"), "own", "left")
     scored = _with_distance(placed, estimate)
     far = F.coalesce(F.col("d2") > CUTOFF, F.lit(False))

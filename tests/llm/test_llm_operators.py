@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kerbside.llm import (
     chunk_dedup,
@@ -441,6 +442,24 @@ def test_rules_on_awkward_tables(spark, documents, nothing):
     assert quality_rules.judge(nothing).count() == 0
 
 
+def test_a_third_of_a_group_may_be_off(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = rng.normal([1.6, 0.2, 0.2, 0.2], [0.05, 0.05, 0.05, 0.05], (3000, 4))
+    rows = []
+    for name, share, shift in (("a", 0.28, 0.8), ("b", 0.34, 0.8), ("c", 0.40, 1.0), ("d", 0.0, 0.0)):
+        off = rng.random(3000) < share
+        z = np.round((x + np.outer(off, [0, shift, 0, 0])) * quality_rules.SCALE).astype(int)
+        rows += [(f"{name}{int(o)}", name, *map(int, r)) for o, r in zip(off, z, strict=True)]
+    path = f"{tmp_path}/rows"
+    spark.createDataFrame(rows, ["kind", "grp", *quality_rules.FEATURES]).write.parquet(path)
+    table = spark.read.parquet(path)
+    est = quality_rules.fitted(table.drop("kind"))
+    got = quality_rules._with_distance(table, est).selectExpr("kind", f"d2 > {quality_rules.CUTOFF} as far")
+    share = {r.kind: r.share for r in got.groupBy("kind").agg(F.avg(F.col("far").cast("int")).alias("share")).collect()}
+    assert all(share[k] > 0.99 for k in ("a1", "b1", "c1"))
+    assert all(share[k] < 0.001 for k in ("a0", "b0", "c0", "d0"))
+
+
 def test_estimate_is_a_concentrated_covariance(spark):
     rng = np.random.default_rng(4)
     x = np.round(rng.normal([2, 0.1, 0.1, 0.1], 0.3, (500, 4)) * quality_rules.SCALE).astype(int)
