@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import (
     chunk_dedup,
+    importance,
     mixing,
     pieces,
     quality_classifier,
@@ -105,3 +106,10 @@ def op8_chunk_dedup(spark, sf_dir):
 @query
 def op10_simhash_groups(spark, sf_dir):
     return simhash_links.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    return importance.resampling_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
