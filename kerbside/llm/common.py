@@ -37,7 +37,7 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     Cuts the lineage, fixes values that depend on how rows were dealt, and
@@ -45,7 +45,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -72,3 +72,20 @@ def range_of(column: Column, splits: list[int]) -> Column:
         return F.when(column.isNull(), -1).otherwise(0)
     cuts = F.array(*[F.lit(s).cast("long") for s in splits])
     return F.when(column.isNull(), -1).otherwise(F.size(F.filter(cuts, lambda s: s < column)))
+
+
+def numbered(df: DataFrame, column: str, name: str) -> tuple[DataFrame, int]:
+    """Written rows of ``df`` with dense numbers from 0, in the order of its partitions; their count.
+
+    One count per partition reaches the driver.
+    """
+    df = materialize(df.withColumn(column, F.monotonically_increasing_id()), name)
+    part = F.shiftright(column, 33)
+    total, before = 0, []
+    for number, n in sorted(map(tuple, df.groupBy(part).count().collect())):
+        before.append((number, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(before, "number__part long, number__before long")
+    rows = df.withColumn("number__part", part).join(offsets, "number__part")
+    dense = F.col("number__before") + F.col(column).bitwiseAND((1 << 33) - 1)
+    return rows.withColumn(column, dense).drop("number__part", "number__before"), total

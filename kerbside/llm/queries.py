@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import (
     chunk_dedup,
+    collocations,
     importance,
     mixing,
     pieces,
@@ -113,3 +114,8 @@ def op11_importance_resampling(spark, sf_dir):
     return importance.resampling_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
