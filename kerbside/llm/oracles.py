@@ -49,3 +49,34 @@ m AS (SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h
   GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m USING (page_id)
 """
+
+ORACLES["op12_phrase_collocations"] = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+spots AS (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+  FROM w, (SELECT unnest(range(1, 6)) AS size)),
+f AS (SELECT lang, size, phrase, count(*) AS f
+  FROM (SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM spots)
+  GROUP BY lang, size, phrase),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+often AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 100),
+inner_size AS (SELECT lang, ws, a, size, unnest(range(2, size)) AS m FROM often WHERE size > 2),
+inner_at AS (SELECT lang, ws, a, m, unnest(range(1, size - m + 2)) AS i FROM inner_size),
+longer AS (SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM inner_at) GROUP BY lang, phrase),
+kept AS (SELECT o.* FROM often o LEFT JOIN longer USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (SELECT lang, phrase, a, ws, size, unnest(range(1, size)) AS k FROM kept),
+scored AS (SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+    CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN total t ON t.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1:c.size], ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM scored)
+  WHERE o = 1),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score FROM best)
+SELECT * FROM ranked WHERE rank <= 2000
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm import (
+    chat_windows,
     chunk_dedup,
     collocations,
     importance,
@@ -119,3 +120,13 @@ def op11_importance_resampling(spark, sf_dir):
 @query
 def op12_phrase_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_chat_windows(spark, sf_dir):
+    """All conversations, and one more whose texts look like marks of the template."""
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], own.schema)
+    windows = chat_windows.chat_windows(own.unionByName(more), model=tokenizer("piece_bpe_32k.model"))
+    return chat_windows.conversation_digests(windows)
