@@ -4,12 +4,16 @@ A gear hash rolls over the bytes of a text; a word start is a cut where the
 hash of the bytes before it is the least among the word starts around it. Cuts
 depend on nearby bytes alone, not on earlier cuts, so a passage is cut alike
 wherever it stands, and an insertion moves only the cuts beside it. Chunks are compared by a 128-bit digest. The first chunk
-with a digest, by document and place, stays; a run of later ones that is long
-enough is removed from its text.
-
-Chunks, not pairs, are shuffled: one aggregation finds the first place of each
-repeated digest, one join brings it back to the chunks. Hot digests are combined
-before the shuffle and split as a skewed join.
+with a digest, by document and place, stays; later ones form runs. A run is
+extended by the words beside it that also stand beside the first occurrence,
+and goes from its text if it is long enough.
+
+Chunks, not pairs, are shuffled. First, half a digest of every chunk is counted;
+those that stand more than once are marked in a bitmap of fixed size. It
+never misses one, so a full bitmap costs work, not results. What it lets pass is
+written with the hashed words beside it: one aggregation finds the first
+place of each repeated digest, one join brings it back. Hot digests are
+combined before the shuffle and split as a skewed join.
 """
 
 from __future__ import annotations
@@ -19,19 +23,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import materialize, text_of
+from kerbside.llm.common import bitmap_of, materialize, text_of
 
 # A cut is the least of this many word starts on either side, so chunks have more words
 # than this, and 2 * REACH + 1 on average. Where no cut comes, as among equal words,
 # one is made after MAX_WORDS.
 REACH = 3
 MAX_WORDS = 32
-# Words that a run of repeated chunks must have to be removed. A repeated passage of
-# over 50 words keeps at least this many in whole chunks, but for rare cases.
-RUN_WORDS = 20
+# Words that a run of repeated chunks must have, with those beside it, to be removed. A
+# repeated passage of over 50 words has as many, but for rare cases; the words of a chunk
+# that the passage shares with no other are found only up to the next cut of either text.
+RUN_WORDS = 40
+# Most bits of the bitmap of repeated digests: 16 MB.
+MAP_BITS = 27
 # Bytes that a gear hash looks back on.
 WINDOW = 16
 _SPACE = np.zeros(256, bool)
@@ -94,59 +101,161 @@ def _digest(part: bytes) -> bytes:
     return xxhash.xxh3_128_digest(part.rstrip(b" \t\n\r\v\f"))
 
 
-def _chunks():
-    @F.pandas_udf("array<struct<hi:long, lo:long, words:int>>")
-    def chunks(texts: pd.Series) -> pd.Series:
+def chunk_digests(raw: bytes) -> tuple[np.ndarray, list[bytes], list[int]]:
+    """Digests of the chunks as two signed halves, the chunks, and their words."""
+    edges, counts = chunk_bounds(raw)
+    parts = [raw[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+    return np.frombuffer(b"".join(map(_digest, parts)), ">i8").reshape(-1, 2), parts, counts
+
+
+def _raw(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def _halves():
+    @F.pandas_udf("array<long>")
+    def halves(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            found, _, counts = chunk_digests(_raw(text))
+            out.append(found[np.array(counts) > 0, 0].astype(np.int64))
+        return pd.Series(out)
+
+    return halves
+
+
+def _hashed_words(part: bytes) -> np.ndarray:
+    return np.array([xxhash.xxh32_intdigest(w) for w in part.split()], np.uint32)
+
+
+def _repeated(bitmap, map_bits: int):
+    """Chunks that the bitmap lets pass, with the hashed words of the chunks beside them."""
+    kind = "array<struct<place:int, hi:long, lo:long, words:int, left:binary, right:binary>>"
+
+    @F.pandas_udf(kind)
+    def repeated(texts: pd.Series) -> pd.Series:
+        bits = np.frombuffer(bitmap.value, np.uint8)
         out = []
         for text in texts:
-            raw = text.encode("utf-8", "surrogatepass")
-            edges, counts = chunk_bounds(raw)
-            parts = [_digest(raw[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-            both = np.frombuffer(b"".join(parts), ">i8").reshape(-1, 2).tolist()
-            pairs = zip(both, counts, strict=True)
-            out.append([{"hi": h[0], "lo": h[1], "words": n} for h, n in pairs if n])
+            found, parts, counts = chunk_digests(_raw(text))
+            mark = found[:, 0].astype(np.int64).view(np.uint64) >> np.uint64(64 - map_bits)
+            known = (bits[(mark >> np.uint64(3)).astype(np.int64)] >> (mark & np.uint64(7)).astype(np.uint8)) & 1
+            words: dict[int, bytes] = {}
+
+            def beside(k: int, parts=parts, words=words) -> bytes:
+                if not 0 <= k < len(parts):
+                    return b""
+                if k not in words:
+                    words[k] = _hashed_words(parts[k]).tobytes()
+                return words[k]
+
+            places = [k for k in np.flatnonzero(known).tolist() if counts[k]]
+            out.append([
+                {"place": k, "hi": int(found[k, 0]), "lo": int(found[k, 1]), "words": counts[k],
+                 "left": beside(k - 1), "right": beside(k + 1)}
+                for k in places
+            ])
         return pd.Series(out)
 
-    return chunks
+    return repeated
+
+
+def _row_key() -> Column:
+    """What stands for a row: rows that are equal in id and text are one document."""
+    return F.xxhash64("doc_id", text_of())
 
 
 def repeated_runs(docs: DataFrame, *, run_words: int = RUN_WORDS) -> DataFrame:
-    """``doc_id`` and ``spans``: numbers of the chunks to remove, as [first, end) pairs.
+    """``row`` and ``spans``: what to remove from the rows that :func:`_row_key` gives.
 
-    A chunk is repeated if an equal one stands earlier, in a document with a
-    smaller id or before it in its own.
+    A span is four numbers: first chunk, one past the last, and the words to
+    remove before and after them. A chunk is repeated if an equal one stands
+    earlier: in a row with a smaller id (rows that share an id in order of a hash
+    of their texts, rows without an id after all others), or before it in its own.
     """
-    made = docs.select("doc_id", F.posexplode(_chunks()(text_of())).alias("place", "chunk"))
-    chunks = made.select("doc_id", "place", "chunk.hi", "chunk.lo", "chunk.words")
-    spot = F.struct("doc_id", "place")
-    first = chunks.groupBy("hi", "lo").agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.where("n > 1").select("hi", "lo", "first")
-    first = materialize(first, "chunks-repeated")
-    later = chunks.join(first, ["hi", "lo"]).where(~spot.eqNullSafe(F.col("first")))
-    found = later.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "words"))).alias("found"))
-    return found.select("doc_id", _runs(run_words)("found").alias("spans")).where("size(spans) > 0")
+    spark = docs.sparkSession
+    text = text_of()
+    half = docs.select(F.explode(_halves()(text)).alias("hi"))
+    often = half.groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
+    often = materialize(often, "chunks-often")
+    map_bits = min(max(15, (64 * often.count()).bit_length()), MAP_BITS)
+    bitmap = spark.sparkContext.broadcast(
+        bitmap_of(often.select(F.shiftrightunsigned("hi", 64 - map_bits).alias("mark")), map_bits)
+    )
+    made = docs.select("doc_id", _row_key().alias("row"), F.explode(_repeated(bitmap, map_bits)(text)).alias("c"))
+    chunks = materialize(made.select("doc_id", "row", "c.*"), "chunks-repeated")
+    spot = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")
+    whole = F.struct(spot.alias("spot"), F.col("left").alias("l"), F.col("right").alias("r"))
+    first = chunks.groupBy("hi", "lo").agg(F.min(whole).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = materialize(first.where("n > 1").select("hi", "lo", "first"), "chunks-first")
+    later = chunks.join(first, ["hi", "lo"]).where(~spot.eqNullSafe(F.col("first.spot")))
+    entry = F.struct("place", "words", "left", "right", F.col("first.l").alias("l"), F.col("first.r").alias("r"))
+    found = later.groupBy("row").agg(F.sort_array(F.collect_list(entry)).alias("found"))
+    return found.select("row", _runs(run_words)("found").alias("spans")).where("size(spans) > 0")
+
+
+def _shared(own: bytes, other: bytes, at_end: bool) -> int:
+    """How many hashed words two chunks share at their ends (or starts)."""
+    a, b = np.frombuffer(own, np.uint32), np.frombuffer(other, np.uint32)
+    n = min(len(a), len(b))
+    same = a[len(a) - n :][::-1] == b[len(b) - n :][::-1] if at_end else a[:n] == b[:n]
+    return n if same.all() else int(np.argmin(same))
+
+
+def runs_of(found: list[dict], run_words: int) -> list[int]:
+    """Spans of one row from its repeated chunks, in order of their places."""
+    spans, run = [], []
+
+    def close() -> None:
+        if not run:
+            return
+        before = _shared(run[0]["left"], run[0]["l"], True)
+        after = _shared(run[-1]["right"], run[-1]["r"], False)
+        if spans and spans[-3] == run[0]["place"] - 1:
+            # One chunk lies between two runs: its words go to the first one's end, then here.
+            before = min(before, len(run[0]["left"]) // 4 - spans[-1])
+        if before + after + sum(c["words"] for c in run) >= run_words:
+            spans.extend([run[0]["place"], run[-1]["place"] + 1, before, after])
+
+    for chunk in found:
+        if run and chunk["place"] == run[-1]["place"]:
+            continue
+        if run and chunk["place"] != run[-1]["place"] + 1:
+            close()
+            run = []
+        run.append(chunk)
+    close()
+    return spans
 
 
 def _runs(run_words: int):
     @F.pandas_udf("array<int>")
     def runs(found: pd.Series) -> pd.Series:
-        out = []
-        for chunks in found:
-            spans, start, last, total = [], None, None, 0
-            for place, count in [(c["place"], c["words"]) for c in chunks] + [(None, 0)]:
-                if last is not None and place != last + 1 and place != last:
-                    if total >= run_words:
-                        spans += [start, last + 1]
-                    last = None
-                if place is not None and place != last:
-                    start, total = (place, 0) if last is None else (start, total)
-                    total, last = total + count, place
-            out.append(spans)
-        return pd.Series(out)
+        return pd.Series([runs_of(chunks, run_words) for chunks in found])
 
     return runs
 
 
+def without_spans(raw: bytes, spans: list[int]) -> bytes:
+    """The text without its spans."""
+    edges, _ = chunk_bounds(raw)
+    data = np.frombuffer(raw, np.uint8)
+    word = ~_SPACE[data]
+    word[1:] &= _SPACE[data][:-1]
+    starts = np.append(np.flatnonzero(word), len(raw))
+    kept, at = [], 0
+    for first, end, before, after in zip(*[iter(spans)] * 4, strict=True):
+        a, b = edges[first], edges[end]
+        if before:
+            a = int(starts[np.searchsorted(starts, a) - before])
+        if after:
+            b = int(starts[np.searchsorted(starts, b) + after])
+        kept.append(raw[at:a])
+        at = b
+    kept.append(raw[at:])
+    return b"".join(kept)
+
+
 def _cut():
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -154,15 +263,8 @@ def _cut():
         for text, gone in zip(texts, spans, strict=True):
             if gone is None or not len(gone):
                 out.append(text)
-                continue
-            raw = text.encode("utf-8", "surrogatepass")
-            edges, _ = chunk_bounds(raw)
-            kept, at = [], 0
-            for a, b in zip(gone[::2], gone[1::2], strict=True):
-                kept.append(raw[at : edges[a]])
-                at = edges[b]
-            kept.append(raw[at:])
-            out.append(b"".join(kept).decode("utf-8", "surrogatepass"))
+            else:
+                out.append(without_spans(_raw(text), list(gone)).decode("utf-8", "surrogatepass"))
         return pd.Series(out, dtype=object)
 
     return cut
@@ -173,14 +275,16 @@ def remove_repeats(docs: DataFrame, *, run_words: int = RUN_WORDS) -> DataFrame:
 
     No row is dropped: a text that is repeated as a whole becomes empty. Texts
     without a repeated passage are unchanged, null stays null; ``n_chars``, where
-    it is a column, is that of the new text in changed rows. Ids should be
-    unique: rows that share an id (or have none) are one document with as many
-    versions, and a passage is cut from all of them if it is repeated.
+    it is a column, is that of the new text in changed rows. Every row is judged by
+    its own text: rows that share an id (or have none) may be repeats of one
+    another, the later by a hash of the text being cut. Rows equal in id and text
+    are one document and are treated alike. Only rows without an id, which come
+    last, or with the same one could be confused by a collision of 64-bit hashes.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("chunks__key")
-    spans = repeated_runs(docs, run_words=run_words).select(key, F.col("spans").alias("chunks__spans"))
+    spans = repeated_runs(docs, run_words=run_words)
+    spans = spans.select(F.col("row").alias("chunks__row"), F.col("spans").alias("chunks__spans"))
     spans = materialize(spans, "chunks-spans")
-    rows = docs.select("*", key).join(spans, "chunks__key", "left")
+    rows = docs.select("*", _row_key().alias("chunks__row")).join(spans, "chunks__row", "left")
     changed = F.col("chunks__spans").isNotNull()
     # Only texts that change travel through Python.
     new = _cut()(F.when(changed, text_of()), F.col("chunks__spans"))

@@ -89,3 +89,19 @@ def numbered(df: DataFrame, column: str, name: str) -> tuple[DataFrame, int]:
     rows = df.withColumn("number__part", part).join(offsets, "number__part")
     dense = F.col("number__before") + F.col(column).bitwiseAND((1 << 33) - 1)
     return rows.withColumn(column, dense).drop("number__part", "number__before"), total
+
+
+def bitmap_of(marks: DataFrame, bits: int) -> bytes:
+    """Bitmap of ``2 ** bits`` bits with those of ``mark`` set; the lowest bit of a byte comes first.
+
+    Built in pieces of 4 kB; only the pieces reach the driver, 16 MB for 27 bits.
+    """
+    mark = F.col("mark") + 1
+    pieces = marks.groupBy(F.bitmap_bucket_number(mark).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(mark)).alias("bits")
+    )
+    out = bytearray(max(1 << bits, 1 << 15) // 8)
+    for row in pieces.collect():
+        at = (row["piece"] - 1) * 4096
+        out[at : at + len(row["bits"])] = row["bits"]
+    return bytes(out)
