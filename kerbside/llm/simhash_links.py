@@ -1,10 +1,10 @@
 """SimHash near-duplicates: vantage-point trees over fingerprints, in shards.
 
 Two 64-bit fingerprints that differ in at most four bits agree well in some
-choice of blocks of bits: cut into six blocks, at least two of them are equal.
-For every such choice one forest is kept, whose metric is the Hamming distance
-on the chosen bits; a pair within four bits lies there within ``radius`` (0
-for two of six blocks, 1 for one of three).
+block of bits: cut into three blocks, at least one differs in one bit or none.
+For every block (or choice of ``take`` of more blocks) one forest is kept, whose
+metric is the Hamming distance on the chosen bits; a pair within four bits lies
+there within ``radius``: 1 for one of three blocks.
 
 The top of each tree is fitted on a bounded sample and deals all fingerprints
 to shards: at a node with vantage point v and split m, a point goes to the
@@ -12,7 +12,9 @@ inner side if d(point, v) <= m. A query goes to every side that its ball can
 reach by the triangle inequality, d - radius <= m or d + radius > m, and so
 visits the shards that overlap its boundary too. In a shard the tree goes on
 in memory, with the same bounds, down to small leaves, where full distances
-are compared. Any two linked fingerprints meet in a leaf of some tree.
+are compared; points that are equal in the chosen bits are split further by the
+distance on all 64, with a radius of four. Any two linked fingerprints meet in a
+leaf of some tree.
 
 A leaf emits links that span its connected points, never all pairs, so large
 groups of near copies stay linear. Components are then found by alternating
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from kerbside.llm.common import materialize, shuffle_partitions, text_of
 
 MAX_BITS = 4
-BLOCKS, TAKE = 6, 2
+BLOCKS, TAKE = 3, 1
 SHINGLE = 4
 SEED = 42
 # Fingerprints that the tops of the trees are fitted on.
@@ -43,6 +45,7 @@ SAMPLE_ROWS = 16_384
 SHARD_POINTS = 20_000
 LEAF_POINTS = 128
 _BATCH = 1 << 16
+_ALL = np.uint64((1 << 64) - 1)
 
 _digest = partial(xxhash.xxh64_intdigest, seed=SEED)
 
@@ -95,16 +98,20 @@ def _distance(points: np.ndarray, to: np.uint64, mask: np.uint64) -> np.ndarray:
 
 
 def _split(points: np.ndarray, mask: np.uint64) -> tuple[np.uint64, int] | None:
-    """A vantage point and the distance that halves the points, if any splits them."""
+    """Of a few vantage points the one that halves the points best, and its distance.
+
+    None where every one leaves less than a sixteenth on a side.
+    """
+    best, least = None, len(points) // 16
     for k in range(4):
         vantage = points[len(points) * (2 * k + 1) // 8]
         d = _distance(points, vantage, mask)
         middle = int(np.median(d))
-        if middle == d.max():
-            middle -= 1
-        if middle >= d.min():
-            return vantage, middle
-    return None
+        for m in (middle, middle - 1):
+            inner = int((d <= m).sum())
+            if min(inner, len(points) - inner) > least:
+                best, least = (vantage, m), min(inner, len(points) - inner)
+    return best
 
 
 def _top(points: np.ndarray, mask: np.uint64, depth: int):
@@ -191,8 +198,12 @@ def _search(points: np.ndarray, queries: np.ndarray, mask: np.uint64, radius: in
     """Links between points and queries that lie within ``radius`` under ``mask``."""
     if not len(points) or not len(queries):
         return
-    if len(points) <= LEAF_POINTS or (found := _split(points, mask)) is None:
-        _leaf(points, queries, links)
+    found = _split(points, mask) if len(points) > LEAF_POINTS else None
+    if found is None:
+        if len(points) > LEAF_POINTS and mask != _ALL:
+            _search(points, queries, _ALL, MAX_BITS, links)
+        else:
+            _leaf(points, queries, links)
         return
     vantage, middle = found
     inner = _distance(points, vantage, mask) <= middle
@@ -223,8 +234,8 @@ def links(distinct: DataFrame, *, blocks: int = BLOCKS, take: int = TAKE) -> Dat
     spark = distinct.sparkSession
     masks, radius = block_masks(blocks, take)
     n = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_ROWS).toPandas()["fp"]
-    points = sample.to_numpy(np.int64).view(np.uint64)
+    sample = distinct.select("fp").sample(min(1.0, SAMPLE_ROWS / max(n, 1)), seed=SEED)
+    points = sample.limit(2 * SAMPLE_ROWS).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     want = max(n / SHARD_POINTS, 2 * shuffle_partitions(spark) / len(masks), 1)
     trees = [_top(points, np.uint64(m), math.ceil(math.log2(want))) for m in masks]
     dealt = distinct.select("fp").mapInPandas(
@@ -291,8 +302,20 @@ def near_duplicates(docs: DataFrame, *, blocks: int = BLOCKS, take: int = TAKE)
     return rows.join(by_fp, "fp").select("doc_id", digits, "component_id")
 
 
-def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Documents without those that share a component with a smaller id."""
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    gone = materialize(gone, "simhash-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def one_of_each(docs: DataFrame, *, blocks: int = BLOCKS, take: int = TAKE) -> DataFrame:
+    """Of each component of linked fingerprints one row, the first by id.
+
+    Rows are judged one by one, not by id: of rows that share an id those of other
+    components are not touched, and of several in one component one stays. Rows
+    without an id come after all others. Rows without words are one component.
+    """
+    row = "simhash__row"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    named = rows.select(F.col(row).alias("doc_id"), "text")
+    groups = near_duplicates(named, blocks=blocks, take=take)
+    groups = groups.select(F.col("doc_id").alias(row), "component_id")
+    groups = materialize(groups.join(rows.select(row, "doc_id"), row), "simhash-members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)
+    kept = groups.groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = materialize(kept.select(F.col(f"first.{row}").alias(row)), "simhash-kept")
+    return rows.join(kept, row, "left_semi").select(*docs.columns)

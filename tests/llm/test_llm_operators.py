@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from kerbside.llm import (
     chunk_dedup,
     mixing,
-    near_copies,
     pieces,
     quality_classifier,
     quality_rules,
@@ -533,57 +532,26 @@ def test_long_chains_become_one_component(spark):
     assert {r.u for r in stars} == set(range(1, 201)) and {r.v for r in stars} == {0}
 
 
-def test_one_of_each_keeps_columns(spark, documents):
-    groups = simhash_links.near_duplicates(documents)
-    kept = simhash_links.one_of_each(documents, groups)
-    assert kept.columns == documents.columns
-    ids = Counter(r.doc_id for r in kept.collect())
-    assert ids[1] == 1 and not ids[2] and not ids[5] and ids[None] == 1 and ids[8] == 2
-
-
-# --- near copies by five-word shingles ---------------------------------------
-
-
-def shingle_sets(texts):
-    split = [t.lower().split() for t in texts]
-    return [{" ".join(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in split]
-
-
-def test_near_copies_are_all_pairs_of_four_fifths(spark):
-    rng = np.random.default_rng(7)
-    texts = []
-    for _ in range(25):
-        base = [f"w{k}" for k in rng.integers(0, 4000, int(rng.integers(30, 120)))]
-        for edits in (0, 1, 1, 2, 3):
-            copy = list(base)
-            for at in rng.integers(0, len(base), edits):
-                copy[at] = f"x{rng.integers(0, 4000)}"
-            texts.append(" ".join(copy))
-    sets = shingle_sets(texts)
-    group = list(range(len(texts)))
-    near = 0
-    for i in range(len(texts)):
-        for j in range(i):
-            likeness = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
-            if likeness >= 0.8:
-                near += likeness < 1
-                old, new = max(group[i], group[j]), min(group[i], group[j])
-                group = [new if g == old else g for g in group]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = sorted(r.doc_id for r in near_copies.one_of_each(docs).collect())
-    assert near > 30 and kept == sorted(set(group))
-
-
-def test_near_copies_of_awkward_tables(spark, documents, nothing):
-    kept = near_copies.one_of_each(documents)
+def test_one_of_each_is_judged_row_by_row(spark, documents, nothing, prose):
+    kept = simhash_links.one_of_each(documents)
     assert kept.columns == documents.columns
     ids = [r.doc_id for r in kept.collect()]
-    # 2 is a copy of 1; 3 has one shingle more; 5 and 6 have no words, as 4; 8 stands there twice
-    assert sorted(ids, key=lambda i: (i is None, i)) == [1, 4, 7, 8, 9, 10, None]
-    assert near_copies.one_of_each(nothing).count() == 0
-
-
-def test_rows_that_share_an_id_are_judged_one_by_one(spark, prose):
+    # 2 and 3 are copies of 1, 5 and 6 have no words, as 4; 8 stands there twice
+    assert Counter(ids) == Counter([1, 4, 7, 8, 9, 10, None])
+    assert simhash_links.one_of_each(nothing).count() == 0
     rows = [(1, prose), (2, prose), (2, "a text of its own, long enough to have shingles"), (None, prose)]
-    kept = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = simhash_links.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, prose), rows[2]]
+
+
+def test_points_of_one_bucket_are_split_by_all_bits():
+    rng = np.random.default_rng(1)
+    mask = np.uint64((1 << 21) - 1)
+    points = np.unique(rng.integers(0, 1 << 43, 6000, dtype=np.uint64) << np.uint64(21))
+    near = points[:300] ^ np.uint64((1 << 30) | (1 << 50))
+    points = np.unique(np.concatenate([points, near]))
+    links = []
+    simhash_links._search(points, points, mask, 1, links)
+    pairs = {frozenset(p) for a, b in links for p in zip(a.tolist(), b.tolist(), strict=True) if p[0] != p[1]}
+    assert {frozenset((int(n), int(n) ^ (1 << 30) ^ (1 << 50))) for n in near} <= pairs
+    assert all((a ^ b).bit_count() <= 4 for a, b in pairs)
