@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import chunk_dedup, mixing, near_copies, pieces, quality_classifier
+from kerbside.llm import chunk_dedup, mixing, pieces, quality_classifier, simhash_links
 from kerbside.llm.common import configure
 from kerbside.llm.queries import table, tokenizer
 from kerbside.session import shared_dir
@@ -27,9 +27,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies by five-word shingles, the document with the least id."""
+    """Of each group of documents that SimHash links, the one with the least id."""
     configure(spark)
-    return near_copies.one_of_each(docs)
+    return simhash_links.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", keep_good),
-    ("near-dedup by five-word shingles", drop_near_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("substring dedup", cut_repeats),
     ("mixing sources to target weights", mix_sources),
     ("SentencePiece encoding and decoding", encode_and_decode),
