@@ -12,21 +12,24 @@ A giant text is cut at fixed places into chunks. The state at a cut is the piece
 that ends at it or lies across it. Each chunk by itself yields a matrix of
 weights from states at its start to states at its end. Matrices are combined by
 the (max, +) product, which is associative; the products to the left and right
-of a cut fix its state, and each chunk is then traced back by itself.
+of a cut fix its state, and each chunk is then traced back by itself. The chunks of a text are multiplied in spans by as many tasks, the spans'
+products in one, and the states at the spans' ends then fix those inside.
 
 Where no piece of the vocabulary can span two characters (before a space, around
-a line break) the state does not matter, so the parts between are encoded once
-and remembered by the worker.
+a line break) the state does not matter. The parts between are encoded by the
+library, the distinct ones of a batch at once, and remembered by the worker.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,8 @@ from kerbside.llm.common import materialize, text_of
 MARK = "▁"
 # Characters per chunk; longer texts are giant and are split.
 CHUNK_CHARS = 16_384
+# Chunks whose matrices one task multiplies.
+SPAN_CHUNKS = 64
 REMEMBERED = 600_000
 REMEMBERED_CHARS = 64
 PART = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -61,14 +66,13 @@ class Pieces:
             else:
                 self.ids[piece], self.score[piece] = i, model.get_score(i)
                 self.raw.append(piece.replace(MARK, " ").encode())
-        self.unknown = model.unk_id()
+        self.model, self.unknown = model, model.unk_id()
         self.longest = max(map(len, self.ids))
         crossing = [p for p in self.ids if re.search(f"[^{MARK}]{MARK}", p) or "\n" in p and p != "\n"]
         if crossing:
             raise ValueError(f"pieces span a word start or line break: {crossing[:5]}")
         self.fits: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, bytes] = {}
-        self.missed = 0
 
     # --- which pieces may follow each other ---
 
@@ -165,24 +169,32 @@ class Pieces:
     def part(self, text: str) -> bytes:
         """Ids of a part between places that no piece spans."""
         found = self.parts.get(text)
-        if found is None:
-            found = self.numbers(self.path(text))
-            if len(text) <= REMEMBERED_CHARS:
-                self.missed += 1
-                if self.missed <= REMEMBERED:
-                    self.parts[text] = found
-                elif self.missed > 4 * REMEMBERED:  # full for long: other words may be frequent now
-                    self.parts.clear()
-                    self.missed = 0
+        return self.numbers(self.path(text)) if found is None else found
+
+    def learn(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids of distinct parts, from memory or, all others at once, from the library.
+
+        A line break in front keeps the library from putting a space there; nothing
+        spans it, so the part's ids are those after that space's and the break's.
+        """
+        known = self.parts
+        if len(known) > REMEMBERED:  # other words may be frequent now
+            known.clear()
+        new = list(parts.difference(known))
+        coded = self.model.encode(["\n" + p.replace(MARK, " ") for p in new], num_threads=1)
+        made = {p: np.array(ids[2:], "<u4").tobytes() for p, ids in zip(new, coded, strict=True)}
+        found = {p: known[p] for p in parts if p in known} | made
+        known.update((p, ids) for p, ids in made.items() if len(p) <= REMEMBERED_CHARS)
         return found
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts; the distinct parts of all of them are encoded once."""
+        split = [PART.findall(t) for t in texts]
+        found = self.learn(set().union(*split))
+        return [b"".join(map(found.__getitem__, parts)) for parts in split]
+
     def encode(self, text: str) -> bytes:
-        known, part = self.parts, self.part
-        out = []
-        for p in PART.findall(text):
-            found = known.get(p)
-            out.append(part(p) if found is None else found)
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -266,7 +278,8 @@ class Pieces:
             inner = [m.group() for m in PART.finditer(text, cut, stop)]
             # The last part may go on beyond the last known piece: it is traced by itself.
             tail = sum(map(len, inner[:-1])) if inner else 0
-            ids += b"".join(map(self.part, inner[:-1]))
+            found = self.learn(set(inner[:-1]))
+            ids += b"".join(map(found.__getitem__, inner[:-1]))
             first, opening = cut + tail, ""
         ids += self.numbers(self.trace(self.advance(text, {first: opening}, first, stop), first, stop))
         return ids + self.numbers([text[stop : end + out_beyond]])
@@ -289,18 +302,24 @@ def compose(left: Matrix, right: Matrix) -> Matrix:
     return out
 
 
-def path_states(matrices: list[Matrix]) -> list[int]:
-    """The state at each of the cuts of the best path, from the products on both sides."""
+def path_states(matrices: list[Matrix], entry: int = START, leave: int | None = None) -> list[int]:
+    """The state at each of the cuts of the best path, from the products on both sides.
+
+    The path begins in ``entry`` and ends in ``leave``, or in its best state.
+    """
     ahead = list(accumulate(matrices, compose))
     behind = list(accumulate(reversed(matrices), lambda done, m: compose(m, done)))[::-1]
-    out = [START]
+    out = [entry]
     for k, left in enumerate(ahead):
-        options = {b: w for (a, b), w in left.items() if a == START}
+        options = {b: w for (a, b), w in left.items() if a == entry}
         if k + 1 < len(matrices):
             rest: dict[int, float] = {}
-            for (a, _), w in behind[k + 1].items():
-                rest[a] = max(rest.get(a, float("-inf")), w)
+            for (a, b), w in behind[k + 1].items():
+                if leave is None or b == leave:
+                    rest[a] = max(rest.get(a, float("-inf")), w)
             options = {b: w + rest[b] for b, w in options.items() if b in rest}
+        elif leave is not None:
+            options = {leave: options[leave]}
         out.append(max(sorted(options), key=options.__getitem__))
     return out
 
@@ -329,31 +348,38 @@ def _encoder(path: str):
     @F.pandas_udf("binary")
     def encoded(texts: pd.Series) -> pd.Series:
         model = load(path)
-        return pd.Series([model.encode(t) for t in texts], dtype=object)
+        return pd.Series(model.encode_all(texts.tolist()), dtype=object)
 
     return encoded
 
 
-def _window(chunk_chars: int, around: int):
-    """Chunks of a text, each with the characters around it that a piece may reach."""
-    n = F.char_length("marked")
-    count = F.ceil(n / chunk_chars).cast("int")
-    number = F.sequence(F.lit(0), count - 1)
+_CHUNK = "row long, chunk int, begin int, end int, final boolean, window string"
+
 
-    def window(k):
-        begin = k * chunk_chars
-        low = F.greatest(begin - around, F.lit(0))
-        end = F.least(begin + chunk_chars, n)
-        high = F.least(end + around, n)
-        return F.struct(
-            k.alias("chunk"),
-            (begin - low).alias("begin"),
-            (end - low).alias("end"),
-            (end == n).alias("final"),
-            F.substring(F.col("marked"), low + 1, high - low).alias("window"),
-        )
+def _windows(chunk_chars: int, around: int):
+    """Chunks of texts, each with the characters around it that a piece may reach."""
 
-    return F.inline(F.transform(number, window))
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                text = batch.column("marked")[k].as_py()
+                row, kept = batch.column("row")[k].as_py(), batch.column("pieces__kept").slice(k, 1)
+                for chunk, start in enumerate(range(0, len(text), chunk_chars)):
+                    stop = min(start + chunk_chars, len(text))
+                    low = max(start - around, 0)
+                    columns = [
+                        pa.array([row], pa.int64()),
+                        pa.array([chunk], pa.int32()),
+                        pa.array([start - low], pa.int32()),
+                        pa.array([stop - low], pa.int32()),
+                        pa.array([stop == len(text)], pa.bool_()),
+                        pa.array([text[low : stop + around]], pa.string()),
+                        kept if chunk == 0 else pa.nulls(1, kept.type),
+                    ]
+                    names = [c.split()[0] for c in _CHUNK.split(", ")]
+                    yield pa.RecordBatch.from_arrays(columns, [*names, "pieces__kept"])
+
+    return windows
 
 
 def _matrices(path: str):
@@ -368,6 +394,7 @@ def _matrices(path: str):
                 {
                     "row": rows["row"],
                     "chunk": rows["chunk"],
+                    "span": rows["span"],
                     "entry": [[a for a, _ in m] for m in made],
                     "leave": [[b for _, b in m] for m in made],
                 }
@@ -376,15 +403,33 @@ def _matrices(path: str):
     return matrices
 
 
-def _scan(rows: pd.DataFrame) -> pd.DataFrame:
-    """States of one text's chunks. A text is one row of a table, which bounds their number."""
-    rows = rows.sort_values("chunk")
-    made = [
+def _made(rows: pd.DataFrame) -> list[Matrix]:
+    return [
         {(int(a), int(b)): 0.0 for a, b in zip(e, x, strict=True)}
         for e, x in zip(rows["entry"], rows["leave"], strict=True)
     ]
-    found = path_states(made)
-    return pd.DataFrame({"row": rows["row"], "chunk": rows["chunk"], "entry": found[:-1], "leave": found[1:]})
+
+
+def _product(rows: pd.DataFrame) -> pd.DataFrame:
+    """The matrix of a span of chunks."""
+    rows = rows.sort_values("chunk")
+    whole = reduce(compose, _made(rows))
+    first = rows[["row", "span"]].iloc[:1]
+    return first.assign(entry=[[a for a, _ in whole]], leave=[[b for _, b in whole]])
+
+
+def _scan(rows: pd.DataFrame) -> pd.DataFrame:
+    """States at the ends of one text's spans."""
+    rows = rows.sort_values("span")
+    found = path_states(_made(rows))
+    return rows[["row", "span"]].assign(first=found[:-1], last=found[1:])
+
+
+def _scan_span(rows: pd.DataFrame) -> pd.DataFrame:
+    """States of the chunks of one span, between those at its ends."""
+    rows = rows.sort_values("chunk")
+    found = path_states(_made(rows), int(rows["first"].iloc[0]), int(rows["last"].iloc[0]))
+    return rows[["row", "chunk"]].assign(entry=found[:-1], leave=found[1:])
 
 
 def _chunk_encoder(path: str):
@@ -410,26 +455,34 @@ def encode(docs: DataFrame, *, model: str, keep: list[str], chunk_chars: int = C
     giant = F.char_length("marked") > chunk_chars
     small = marked.where(~giant).select(*keep, _encoder(model)(F.col("marked")).alias("ids"))
 
-    kept = F.struct(*keep).alias("pieces__kept") if keep else F.lit(None).alias("pieces__kept")
-    around = load(model).longest
-    chunks = marked.where(giant).select(
-        F.monotonically_increasing_id().alias("row"), kept, "marked"
-    ).select("row", "pieces__kept", _window(chunk_chars, around))
-    # Written once: the ids of the rows must not change between the two passes.
+    kept = F.struct(*keep, F.lit(0).alias("pieces__")).alias("pieces__kept")
+    giants = marked.where(giant).select(F.monotonically_increasing_id().alias("row"), "marked", kept)
+    kept_type = giants.schema["pieces__kept"].dataType.simpleString()
+    chunks = giants.mapInArrow(
+        _windows(chunk_chars, load(model).longest), f"{_CHUNK}, pieces__kept {kept_type}"
+    ).withColumn("span", F.floor(F.col("chunk") / SPAN_CHUNKS).cast("int"))
+    # Written once: the ids of the rows must not change between the passes.
     chunks = materialize(chunks.repartition("row", "chunk"), "piece-chunks")
-    sides = chunks.select("row", "chunk", "window", "begin", "end", "final").mapInPandas(
-        _matrices(model), "row long, chunk int, entry array<int>, leave array<int>"
+    sides = chunks.select("row", "chunk", "span", "window", "begin", "end", "final").mapInPandas(
+        _matrices(model), "row long, chunk int, span int, entry array<int>, leave array<int>"
+    )
+    # A tree of two levels: products of spans, states at their ends, states inside.
+    sides = materialize(sides, "piece-matrices")
+    spans = sides.groupBy("row", "span").applyInPandas(
+        _product, "row long, span int, entry array<int>, leave array<int>"
     )
-    states = sides.groupBy("row").applyInPandas(_scan, "row long, chunk int, entry int, leave int")
-    traced = chunks.join(states, ["row", "chunk"]).select(
-        "row", "chunk", F.when(F.col("chunk") == 0, F.col("pieces__kept")).alias("pieces__kept"),
+    ends = spans.groupBy("row").applyInPandas(_scan, "row long, span int, first int, last int")
+    states = sides.join(ends, ["row", "span"]).groupBy("row", "span")
+    states = states.applyInPandas(_scan_span, "row long, chunk int, entry int, leave int")
+    traced = chunks.drop("span").join(states, ["row", "chunk"]).select(
+        "row", "chunk", "pieces__kept",
         _chunk_encoder(model)("window", "begin", "end", "entry", "leave").alias("part"),
     )
     whole = traced.groupBy("row").agg(
         F.max("pieces__kept").alias("pieces__kept"),
-        F.sort_array(F.collect_list(F.struct("chunk", "part"))).alias("parts"),
+        F.sort_array(F.collect_list(F.struct("chunk", F.hex("part").alias("part")))).alias("parts"),
     )
-    joined = F.aggregate("parts", F.lit(b"").cast("binary"), lambda done, p: F.concat(done, p["part"]))
+    joined = F.unhex(F.array_join("parts.part", ""))
     large = whole.select(*[F.col("pieces__kept")[c].alias(c) for c in keep], joined.alias("ids"))
     return small.unionByName(large)
 
