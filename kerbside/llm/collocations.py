@@ -282,7 +282,8 @@ def phrase_counts(
     words, n_words = numbered(often.where(F.col("f") >= min_count), "id", "phrases-words")
     words = materialize(words, "phrases-ids")
     entry = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("id"))
-    known = own.join(words, (own["words"] == words["word"]) & (own["lang"] == words["lang"]))
+    # Rare words have no id, so no entry; all rows stay up to here, whatever share is frequent.
+    known = own.join(words, (own["words"] == words["word"]) & (own["lang"] == words["lang"]), "left")
     known = known.groupBy("block").agg(F.collect_list(entry).alias("ids"))
 
     width = max(2, n_words.bit_length())
