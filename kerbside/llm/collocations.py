@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm import counting_filter as cf
-from kerbside.llm.common import materialize, numbered, shuffle_partitions, text_of
+from kerbside.llm.common import bitmap_of, materialize, numbered, shuffle_partitions, text_of
 
 MIN_COUNT = 100
 MAX_WORDS = 5
@@ -248,20 +248,6 @@ def _merge(width: int, shard_bits: int, min_count: int):
 _FOUND = "key array<long>, f long, limb long"
 
 
-def _bitmap(found: DataFrame, width: int, n: int) -> tuple[bytes, int]:
-    """Bitmap of the leading bits of the packed pairs; a byte holds the bits of eight marks."""
-    map_bits = min(max(15, (64 * n).bit_length()), MAP_BITS, 2 * width)
-    mark = F.shiftrightunsigned("limb", 2 * width - map_bits) + 1
-    parts = found.groupBy(F.bitmap_bucket_number(mark).alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(mark)).alias("bits")
-    )
-    out = bytearray(max(1 << map_bits, 1 << 15) // 8)
-    for row in parts.collect():
-        at = (row["part"] - 1) * 4096
-        out[at : at + len(row["bits"])] = row["bits"]
-    return bytes(out), map_bits
-
-
 def phrase_counts(
     docs: DataFrame, *, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -304,8 +290,9 @@ def phrase_counts(
     found = words.select(F.array(F.col("id") + 1).alias("key"), "f").unionByName(pairs.select("key", "f"))
     n_pairs = pairs.count()
     if n_pairs and max_words > 2:
-        bits, map_bits = _bitmap(pairs, width, n_pairs)
-        bitmap = spark.sparkContext.broadcast(bits)
+        map_bits = min(max(15, (64 * n_pairs).bit_length()), MAP_BITS, 2 * width)
+        mark = F.shiftrightunsigned("limb", 2 * width - map_bits).alias("mark")
+        bitmap = spark.sparkContext.broadcast(bitmap_of(pairs.select(mark), map_bits))
         more = coded.where("n = 0").select("body")
         more = more.mapInArrow(_longer(width, shard_bits, max_words, bitmap, map_bits), _FILTERS)
         found = found.unionByName(merged(more, "phrases-longer").select("key", "f"))
