@@ -7,10 +7,11 @@ A payload is a null flag (1), the document id (8), the bytes per token (1) and
 the tokens, little-endian. Beside each shard lies an index with the offset,
 length and number of tokens of every record, for reads in any order.
 
-Texts are encoded where they are read and only token ids are shuffled. White
+Texts are sorted into shards, encoded and written by one task per shard. White
 space separates tokens in this vocabulary, so a text's ids are those of its
 words: the distinct words of some megabytes of text are encoded by the library,
-and put in place for every text.
+and put in place for every text. Texts that hold the name of an added token are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import id_splits, range_of, shuffle_partitions, text_of
+from kerbside.llm.common import shuffle_partitions, text_of
 from kerbside.session import shared_dir
 
 END_ID = 1
+# Bytes of text that a shard is meant for.
+SHARD_BYTES = 256 << 20
 RECORD_HEAD = struct.Struct("<BqB")
 FRAME = struct.Struct("<QI")
 INDEX = np.dtype([("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
@@ -165,7 +169,6 @@ def _tokenizer(path: str):
 
         _library.clear()
         made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
         vocab = made.get_vocab()
         ends = np.zeros(max(vocab.values()) + 1, bool)
         ends[[i for token, i in vocab.items() if token.endswith(END_MARK)]] = True
@@ -173,6 +176,19 @@ def _tokenizer(path: str):
     return _library[path]
 
 
+def holds_name(texts: pa.Array, path: str) -> np.ndarray:
+    """Which texts hold the name of an added token, such as that of the end of a text.
+
+    The library finds these names before it splits a text into words, and not only
+    between white space, so such texts are left to it whole.
+    """
+    found = np.zeros(len(texts), bool)
+    for token in _tokenizer(path)[0].get_added_tokens_decoder().values():
+        here = pc.match_substring(texts, token.content, ignore_case=True)
+        found |= here.to_numpy(zero_copy_only=False)
+    return found
+
+
 def _joined_ids(words: pa.Array, pieces: int, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ids of runs of words encoded as one text: first word, one past the last, ids, ids per word.
 
@@ -232,8 +248,9 @@ def encode_array(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[list
     Arrow splits the texts and numbers their distinct words; the ids of all words
     then lie one after another in one buffer, which is cut at the texts' ends.
     """
-    kind = _tokenizer(path)[1]
-    split = pc.ascii_split_whitespace(texts)
+    made, kind, _ = _tokenizer(path)
+    named = holds_name(texts, path)
+    split = pc.ascii_split_whitespace(pc.if_else(pa.array(named), "", texts) if named.any() else texts)
     numbered = split.flatten().dictionary_encode()
     placed = word_ids(numbered.dictionary, path).take(numbered.indices)
     sizes = pc.binary_length(placed).to_numpy(zero_copy_only=False)
@@ -241,94 +258,87 @@ def encode_array(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[list
     cuts = stops[split.offsets.to_numpy()].tolist()
     data = memoryview(placed.buffers()[2] or b"")
     end = np.array([end_id], kind).tobytes()
-    return [bytes(data[a:b]) + end for a, b in zip(cuts, cuts[1:], strict=False)], np.dtype(kind).itemsize
+    out = [bytes(data[a:b]) + end for a, b in zip(cuts, cuts[1:], strict=False)]
+    for k in np.flatnonzero(named).tolist():
+        ids = made.encode(texts[k].as_py(), add_special_tokens=False).ids
+        out[k] = np.array(ids, kind).tobytes() + end
+    return out, np.dtype(kind).itemsize
 
 
 def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> tuple[list[bytes], int]:
     return encode_array(pa.array(texts, pa.large_string()), path, end_id)
 
 
-def _encoder(path: str):
-    """Replaces ``text`` by ``width`` and ``ids``, a bounded number of bytes at a time."""
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list, int, list[bytes]]]:
+    """Ids of documents, bytes per token and tokens, a bounded number of bytes at a time."""
 
-    def coded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def coded(held: list[pa.RecordBatch]) -> tuple[list, int, list[bytes]]:
         rows = pa.Table.from_batches(held)
         ids, width = encode_array(rows["text"].cast(pa.large_string()).combine_chunks(), path)
-        out = {
-            "shard": rows["shard"].combine_chunks(),
-            "doc_id": rows["doc_id"].combine_chunks(),
-            "width": pa.array([width] * len(ids), pa.int32()),
-            "ids": pa.array(ids, pa.binary()),
-        }
-        return pa.RecordBatch.from_pydict(out)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size >= CHUNK_BYTES:
-                yield coded(held)
-                held, size = [], 0
-        if held:
-            yield coded(held)
+        return rows["doc_id"].to_pylist(), width, ids
 
-    return encode
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= CHUNK_BYTES:
+            yield coded(held)
+            held, size = [], 0
+    if held:
+        yield coded(held)
 
 
 # --- files -------------------------------------------------------------------
 
 
-def pack(doc_ids: list, widths: list[int], ids: list[bytes]) -> list[bytes]:
+def pack(doc_ids: list, width: int, ids: list[bytes]) -> list[bytes]:
     """Payloads of records."""
-    return [
-        RECORD_HEAD.pack(i is None, i or 0, w) + raw
-        for i, w, raw in zip(doc_ids, widths, ids, strict=True)
-    ]
+    return [RECORD_HEAD.pack(i is None, i or 0, width) + raw for i, raw in zip(doc_ids, ids, strict=True)]
+
+
+# Schemes of Hadoop's file systems that Arrow knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder by its address; plain paths are local."""
-    return fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+    """File system and path of a folder by its address; plain paths and ``dbfs:`` are local."""
+    scheme, colon, rest = folder.partition(":/")
+    if not colon:
+        return fs.LocalFileSystem(), folder
+    if scheme == "dbfs":
+        return fs.LocalFileSystem(), f"/dbfs/{rest.lstrip('/')}"
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:/{rest}")
 
 
-def _writer(folder: str):
+_TOTALS = "shard long, n_records long, n_tokens long"
+
+
+def _writer(folder: str, path: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One file per shard; rows come in order of (shard, doc_id)."""
+        """Encodes a sorted partition and writes it as one shard, numbered as the partition."""
         store, root = _open(folder)
-        shard, out, temp, index, at = None, None, "", [], 0
-
-        def close():
-            # Written aside under a name of its own and moved in one step: a task that
-            # runs twice leaves one whole file, and both attempts hold the same bytes.
-            out.close()
-            found = np.array(index, INDEX)
-            side = f"{temp}.index"
-            with store.open_output_stream(side) as f:
-                f.write(found.tobytes())
-            for src, end in ((temp, "records"), (side, "index")):
-                store.move(src, f"{root}/shard-{shard:06d}.{end}")
-            return pa.RecordBatch.from_pydict(
-                {"shard": [shard], "n_records": [len(index)], "n_tokens": [int(found["n_tokens"].sum())]},
-                schema=pa.schema([("shard", pa.int64()), ("n_records", pa.int64()), ("n_tokens", pa.int64())]),
-            )
-
-        for batch in batches:
-            rows = batch.to_pydict()
-            tokens = [len(ids) // w for w, ids in zip(rows["width"], rows["ids"], strict=True)]
-            records = frame(pack(rows["doc_id"], rows["width"], rows["ids"]))
-            for s, n, record in zip(rows["shard"], tokens, records, strict=True):
-                if s != shard:
-                    if shard is not None:
-                        yield close()
-                    shard, index, at = s, [], 0
-                    temp = f"{root}/.{uuid.uuid4().hex}"
-                    out = store.open_output_stream(temp)
+        shard, index, at, out = TaskContext.get().partitionId(), [], 0, None
+        temp = f"{root}/.{uuid.uuid4().hex}"
+        for doc_ids, width, ids in _encoded(batches, path):
+            out = out or store.open_output_stream(temp)
+            for raw, record in zip(ids, frame(pack(doc_ids, width, ids)), strict=True):
                 out.write(record)
-                index.append((at, len(record), n))
+                index.append((at, len(record), len(raw) // width))
                 at += len(record)
-        if shard is not None:
-            yield close()
+        if out is None:
+            return
+        # Written aside under a name of its own and moved in one step: a task that runs
+        # twice leaves one whole file, and both attempts hold the same bytes. An object
+        # store copies instead; there too a file appears whole.
+        out.close()
+        found = np.array(index, INDEX)
+        side = f"{temp}.index"
+        with store.open_output_stream(side) as f:
+            f.write(found.tobytes())
+        for src, end in ((temp, "records"), (side, "index")):
+            store.move(src, f"{root}/shard-{shard:06d}.{end}")
+        columns = [pa.array([n], pa.int64()) for n in (shard, len(index), int(found["n_tokens"].sum()))]
+        yield pa.RecordBatch.from_arrays(columns, ["shard", "n_records", "n_tokens"])
 
     return write
 
@@ -338,28 +348,30 @@ def write_tokens(
 ) -> DataFrame:
     """Write all documents to a new folder; returns ``shard, n_records, n_tokens``.
 
-    Shard numbers follow the document ids: all ids of a shard are above those
-    of the shards before it. Rows without an id come first; rows that share an
-    id lie side by side, in order of their tokens; null text has only the end
-    id; other columns are not written. ``folder`` must be seen by all
-    executors.
+    Shard numbers follow the document ids. Rows without an id come first; rows
+    that share an id lie side by side, in order of a hash of their texts, and may
+    fill several shards; null text has only the end id; other columns are not
+    written. Without ``shards`` there are as many as make about ``SHARD_BYTES`` of
+    text each. ``folder`` must be seen by all executors.
     """
     spark = docs.sparkSession
     store, root = _open(folder)
     store.create_dir(root, recursive=True)
-    splits = id_splits(docs, "doc_id", shards or 2 * shuffle_partitions(spark))
+    if shards is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(2 * shuffle_partitions(spark), -(-size // SHARD_BYTES))
     rows = docs.select(
-        (range_of(F.col("doc_id"), splits) + 1).cast("long").alias("shard"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text_of().alias("text"),
+        F.xxhash64(text_of()).alias("hash"),
+        # Lets equal rows be dealt to several shards.
+        F.monotonically_increasing_id().alias("row"),
     )
-    coded = rows.mapInArrow(_encoder(tokenizer), "shard long, doc_id long, width int, ids binary")
-    dealt = coded.repartition("shard").sortWithinPartitions("shard", "doc_id", "ids")
-    written = dealt.mapInArrow(_writer(folder), "shard long, n_records long, n_tokens long")
+    order = ["doc_id", "hash", "row"]
+    dealt = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    written = dealt.mapInArrow(_writer(folder, tokenizer), _TOTALS)
     # One row per shard. Counted once, so that no later plan writes the files again.
-    totals = written.collect()
-    kind = "shard long, n_records long, n_tokens long"
-    return spark.createDataFrame(totals, kind)
+    return spark.createDataFrame(written.collect(), _TOTALS)
 
 
 READ_BYTES = 8 << 20

@@ -297,7 +297,8 @@ def test_token_files_round_trip(spark, documents, nothing, tmp_path):
 
     path = tokenizer("word_bpe_49k.json")
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
+    marked = [(11, "a <|endoftext|> b<|startoftext|>c", "en", "a", 9, *[None] * 6), (None, "<|ENDOFTEXT|>x", *[None] * 9)]
+    documents = documents.where("doc_id is not null").unionByName(spark.createDataFrame(marked, documents.schema))
     ids = {d: made.encode(t, add_special_tokens=False).ids + [1] for d, t in texts_of(documents)}
     folder = str(tmp_path / "tokens")
     totals = token_files.write_tokens(documents, folder, tokenizer=path, shards=3)
@@ -344,7 +345,6 @@ def test_texts_of_many_kinds_encode_as_the_library_does():
         "", "  ", "\t\n", " ".join(f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]} W{k}, é{k}" for k in range(3000)),
     ]
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
     got, width = token_files.encode_texts(texts, path)
     for text, raw in zip(texts, got, strict=True):
         want = made.encode(text, add_special_tokens=False).ids + [token_files.END_ID]
