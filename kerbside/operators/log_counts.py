@@ -8,7 +8,7 @@ The functions work on bounded tables and on streams alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.matching import match_pattern
@@ -78,11 +78,12 @@ def build_rollup(logs: DataFrame, step: str = "1 hour") -> DataFrame:
     return counted.select(F.col("w.start").alias("bucket"), "service", "level", "count")
 
 
-def _step_us(rollup: DataFrame, step: str) -> int:
+def step_us(spark: SparkSession, step: str) -> int:
+    """Microseconds of a bucket length such as ``1 hour``."""
     moved = F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"interval {step}")
     start = F.lit("1970-01-01 00:00:00").cast("timestamp")
     length = F.unix_micros(moved) - F.unix_micros(start)
-    return rollup.sparkSession.range(1).select(length).first()[0]
+    return spark.range(1).select(length).first()[0]
 
 
 def rollup_counts(rollup: DataFrame, step: str, rollup_step: str = "1 hour") -> DataFrame:
@@ -91,7 +92,7 @@ def rollup_counts(rollup: DataFrame, step: str, rollup_step: str = "1 hour") ->
     Equals :func:`counts_by_label` on the raw rows for the level label. The
     roll-up's step must divide ``step``, or its buckets would straddle two.
     """
-    if _step_us(rollup, step) % _step_us(rollup, rollup_step):
+    if step_us(rollup.sparkSession, step) % step_us(rollup.sparkSession, rollup_step):
         raise ValueError(f"a roll-up by {rollup_step} cannot be read by {step}")
     summed = rollup.groupBy(F.window("bucket", step).alias("w"), "level").agg(
         F.sum("count").alias("count")

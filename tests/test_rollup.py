@@ -1,0 +1,149 @@
+"""The roll-up kept up by a stream, and counts over ranges that it covers."""
+
+import glob
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from kerbside.operators import log_ranges
+from kerbside.schema import LOGS
+from kerbside.sources import snapshots
+from kerbside.streaming import rollup
+
+T0 = datetime(2025, 1, 31, 22, 0, 0)
+STEPS = ("1 minute", "1 hour", "1 day")
+
+
+def rows(first, last, step=97):
+    out = []
+    for k in range(first, last):
+        labels = {"service": f"s{k % 3}", "level": ["error", "view", "click"][k % 7 % 3]} if k % 11 else {}
+        out.append((k, T0 + timedelta(seconds=k * step), labels, "x"))
+    return out
+
+
+def plain(found, us):
+    counts = {}
+    for _, ts, labels, _ in found:
+        if ts is None:
+            continue
+        n = int((ts - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+        key = (n // us * us, labels.get("service", ""), labels.get("level", ""))
+        counts[key] = counts.get(key, 0) + 1
+    return counts
+
+
+def stored(spark, path):
+    got = rollup.read_rollup(spark, path).withColumn("at", F.unix_micros("bucket")).collect()
+    out = {}
+    for r in got:
+        assert (r.at, r.service, r.level) not in out.setdefault(r.step, {})
+        out[r.step][r.at, r.service, r.level] = r["count"]
+    return out
+
+
+def arrive(spark, folder, found, n):
+    spark.createDataFrame(found, LOGS).coalesce(1).write.parquet(f"{folder}/in/{n}")
+
+
+def run(spark, folder, **options):
+    reader = spark.readStream.schema(LOGS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    query = rollup.maintain_rollup(reader.parquet(f"{folder}/in"), f"file://{folder}/rollup", f"{folder}/checkpoint", **options)
+    query.awaitTermination()
+    return query
+
+
+def test_deltas_of_batches_late_rows_replays_and_restarts(spark, tmp_path):
+    folder = str(tmp_path)
+    arrive(spark, folder, rows(100, 300), 0)
+    arrive(spark, folder, [*rows(300, 500), (9, None, {}, "x")], 1)
+    run(spark, folder)
+    arrive(spark, folder, rows(0, 100), 2)  # older than all before
+    query = run(spark, folder)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 100  # none read again
+    want = {s: plain(rows(0, 500), us) for s, us in zip(STEPS, [60_000_000, 3_600_000_000, 86_400_000_000])}
+    assert stored(spark, f"file://{folder}/rollup") == want
+
+    # The last batch once more: its commit is taken back, as after a crash.
+    last = max(int(os.path.basename(f)) for f in glob.glob(f"{folder}/checkpoint/commits/[0-9]*"))
+    for name in (f"{last}", f".{last}.crc"):
+        os.remove(f"{folder}/checkpoint/commits/{name}")
+    run(spark, folder)
+    assert stored(spark, f"file://{folder}/rollup") == want
+
+    for n in range(3, 7):
+        arrive(spark, folder, rows(500 + 10 * n, 510 + 10 * n), n)
+    run(spark, folder, fan_in=3)
+    want = {s: plain([*rows(0, 500), *rows(530, 570)], us) for s, us in zip(STEPS, [60_000_000, 3_600_000_000, 86_400_000_000])}
+    assert stored(spark, f"file://{folder}/rollup") == want
+    assert len(snapshots.latest(spark, f"file://{folder}/rollup").parts) <= 4
+
+
+def test_steps_must_divide(spark):
+    with pytest.raises(ValueError, match="divide"):
+        rollup.rollup_delta(spark.createDataFrame([], LOGS), ("2 minutes", "3 minutes"))
+
+
+@given(st.integers(-5000, 5000), st.integers(0, 5000))
+def test_cover(start, size):
+    pieces = log_ranges.cover(start, start + size, [10, 60, 1440])
+    at = start
+    for step, a, b in pieces:
+        assert a == at < b and (step is None or a % step == b % step == 0)
+        at = b
+    assert at == start + size or not pieces and size == 0
+    raw = [b - a for step, a, b in pieces if step is None]
+    assert len(raw) <= 2 and all(n < 20 for n in raw) and len(pieces) <= 7
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("ranges")
+    logs = spark.createDataFrame(rows(0, 3000), LOGS)
+    snapshots.append_batch(logs.withColumn("slot", snapshots.slot_of("ts", "hour")), f"file://{folder}/raw", 0, run="a", split=("slot",))
+    delta = rollup.rollup_delta(logs, ("1 hour", "1 day")).withColumn("slot", snapshots.slot_of("bucket"))
+    snapshots.append_batch(delta, f"file://{folder}/rollup", 0, run="a", split=("step", "slot"))
+    return str(folder), logs
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "step"),
+    [
+        ("2025-02-01 03:17:05", "2025-02-03 11:42:00.5", None),
+        ("2025-02-01 03:17:05", "2025-02-03 11:42:00.5", "1 day"),
+        ("2025-02-01 03:17:05", "2025-02-01 19:00:00", "6 hours"),
+        ("2025-02-01 03:17:05", "2025-02-01 03:50:00", None),
+        ("2025-02-01 03:17:05", "2025-02-01 09:50:00", "5 minutes"),
+        ("2020-01-01 00:00:00", "2030-01-01 00:00:00", "1 day"),
+        ("2025-02-02 00:00:00", "2025-02-02 00:00:00", "1 hour"),
+    ],
+)
+def test_any_range_equals_raw_counts(spark, tables, start, end, step):
+    folder, logs = tables
+    raw, rolled = (snapshots.read(spark, f"file://{folder}/{t}") for t in ("raw", "rollup"))
+    got = log_ranges.range_counts(rolled, raw, start, end, ["1 hour", "1 day"], step, slots="hour")
+    inside = logs.where((F.col("ts") >= start) & (F.col("ts") < end))
+    level = F.coalesce(F.col("labels")["level"], F.lit("")).alias("level")
+    if step is None:
+        want = inside.groupBy(level).count()
+    else:
+        want = inside.groupBy(F.window("ts", step).start.alias("bucket"), level).count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_raw_files_of_two_buckets_only(spark, tables, tmp_path):
+    folder, logs = tables
+    raw, rolled = (snapshots.read(spark, f"file://{folder}/{t}") for t in ("raw", "rollup"))
+    start, end = "2025-02-01 03:17:05", "2025-02-03 11:42:00.5"
+    got = log_ranges.range_counts(rolled, raw, start, end, ["1 hour", "1 day"], slots="hour")
+    want = sorted(map(tuple, got.collect()))
+    # Whatever lies in other hours cannot be read any more.
+    for file in glob.glob(f"{folder}/raw/snapshot_part=*/slot=*/*.parquet"):
+        if not any(f"slot={hour}" in file for hour in ("2025-02-01-03", "2025-02-03-11")):
+            open(file, "wb").write(b"not a table")
+    again = log_ranges.range_counts(rolled, raw, start, end, ["1 hour", "1 day"], slots="hour")
+    assert sorted(map(tuple, again.collect())) == want
