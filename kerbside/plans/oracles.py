@@ -163,6 +163,8 @@ _OTHER_PLATES = """passages AS (
 _ROLLED = """SELECT date_trunc('day', ts) AS bucket, event_type AS level, count(*) AS count
 FROM events GROUP BY 1, 2"""
 
+_IN_RANGE = "ts >= TIMESTAMP '2024-01-03 07:41:13' AND ts < TIMESTAMP '2024-01-24 16:05:59.5'"
+
 _PATTERNS = [
     ('level=<_> cents=1<_> took', "regexp_matches(line, 'level=.* cents=1.* took')"),
     ('level=error <_>', "contains(line, 'level=error ')"),
@@ -227,6 +229,13 @@ SELECT {_MEAN_COLUMNS} FROM means""",
     "avg_speed_30m_stream": _ALL_MEANS,
     "late_rows": f"""WITH {PASSAGES}, {_means(where="\"timestamp\" >= TIMESTAMP '2024-01-16'")}
 SELECT {_MEAN_COLUMNS} FROM means""",
+    "avg_speed_30m_repaired": _ALL_MEANS,
+    # Electric cars' rows come last: late is what is not newer than the road's other rows.
+    "late_rows_kept": f"""WITH {PASSAGES}, clocks AS (
+  SELECT highway_id, max("timestamp") AS closed FROM passages WHERE NOT ev GROUP BY 1
+)
+SELECT p."timestamp", highway_id, plate, speed, ev FROM passages p JOIN clocks USING (highway_id)
+WHERE ev AND p."timestamp" <= closed""",
     # replay, profile, plates
     "replay_schedule": f"""WITH {SENT}
 SELECT "timestamp", plate,
@@ -313,6 +322,15 @@ WHERE bucket + INTERVAL 1 hour <= (SELECT date_trunc('millisecond', max(ts)) FRO
     "label_volume": """SELECT source AS value, CAST(sum(strlen(text)) AS BIGINT) AS volume FROM documents
 GROUP BY 1 ORDER BY 2 DESC, 1""",
     "rollup_counts": _ROLLED,
+    "rollup_counts_stream": """SELECT step, bucket, service, level, count(*) AS count FROM (
+  SELECT '1 hour' AS step, date_trunc('hour', ts) AS bucket, 's' || (user_id % 4) AS service,
+    event_type AS level FROM events
+  UNION ALL
+  SELECT '1 day', date_trunc('day', ts), 's' || (user_id % 4), event_type FROM events
+) GROUP BY ALL""",
+    "range_counts": f"SELECT event_type AS level, count(*) AS count FROM events WHERE {_IN_RANGE} GROUP BY 1",
+    "range_counts_by_day": f"""SELECT date_trunc('day', ts) AS bucket, event_type AS level, count(*) AS count
+FROM events WHERE {_IN_RANGE} GROUP BY 1, 2""",
     "pattern_series": f"""WITH {LOGFMT}, series AS (
   SELECT pattern, bucket, count(*) AS count FROM ({_PATTERN_HITS}) GROUP BY 1, 2
 )

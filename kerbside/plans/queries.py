@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import event_time, road
 from kerbside.operators import basics, profile, quality, replay, trailing
-from kerbside.operators import log_counts, log_discover, log_filters, log_parse
+from kerbside.operators import log_counts, log_discover, log_filters, log_parse, log_ranges
 from kerbside.plans import views
 from kerbside.schema import AVERAGES, PASSAGES, RAW_PASSAGES
 from kerbside.session import configure, shared_dir
 from kerbside.sources import passages as passage_files
 from kerbside.sources import records, tables
+from kerbside.streaming import clocks, rollup, runs
 from kerbside.streaming import counts as stream_counts
-from kerbside.streaming import runs
 from kerbside.streaming import trailing as stream_trailing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,7 +105,8 @@ def stream_ingest(spark, sf_dir):
 def fork_outputs(spark, sf_dir):
     path = _sent_records(spark, sf_dir, "fork")
     decoded = records.decode_records(records.read_record_files(spark, f"{path}/records"))
-    runs.finish(runs.start_outputs(decoded, f"{path}/tables", f"{path}/checkpoints", watermark_delay=IN_ORDER))
+    started = runs.start_outputs(decoded, f"{path}/tables", f"{path}/checkpoints", watermark_delay=IN_ORDER)
+    runs.finish(started, allow_late=False)
     detail = tables.read_table(spark, f"{path}/tables/{tables.DETAIL_TABLE}", PASSAGES)
     means = tables.read_table(spark, f"{path}/tables/{tables.AVERAGES_TABLE}", AVERAGES)
     detail_road = detail.select(
@@ -243,7 +244,7 @@ def avg_speed_30m_stream(spark, sf_dir):
     path = shared_dir(spark, "trailing")
     rows = views.passages(views.events_stream(spark, sf_dir))
     means = stream_trailing.trailing_mean_stream(rows, watermark_delay=IN_ORDER)
-    runs.finish([runs.write_stream(means, f"{path}/out", f"{path}/checkpoint")])
+    runs.finish([runs.write_stream(means, f"{path}/out", f"{path}/checkpoint")], allow_late=False)
     return _rounded(tables.read_table(spark, f"{path}/out", AVERAGES), "avg_speed")
 
 
@@ -261,6 +262,29 @@ def late_rows(spark, sf_dir):
     return _rounded(tables.read_table(spark, f"{path}/out", AVERAGES), "avg_speed")
 
 
+def _clocked(spark, sf_dir, name):
+    """Tables kept by one clock per road; passages of electric cars come after all others."""
+    path = shared_dir(spark, name)
+    rows = _passages(spark, sf_dir)
+    for part in (~F.col("ev"), F.col("ev")):
+        rows.where(part).write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(PASSAGES).parquet(f"{path}/in")
+        clocks.start_clocked(arriving, f"{path}/tables", f"{path}/checkpoint").awaitTermination()
+    return f"{path}/tables"
+
+
+@query
+def avg_speed_30m_repaired(spark, sf_dir):
+    """Means of a stream out of order, the windows of late rows repaired."""
+    return _rounded(clocks.read_means(spark, _clocked(spark, sf_dir, "repaired")), "avg_speed")
+
+
+@query
+def late_rows_kept(spark, sf_dir):
+    """The late rows of that stream themselves."""
+    return clocks.read_late(spark, _clocked(spark, sf_dir, "late-kept")).select(*PASSAGES.names)
+
+
 # --- replay, profile, plates -------------------------------------------------
 
 
@@ -459,7 +483,7 @@ def counts_by_label_stream(spark, sf_dir):
     path = shared_dir(spark, "counts")
     rows = views.logs(views.events_stream(spark, sf_dir))
     counted = stream_counts.counts_by_label_stream(rows, "level", "1 hour", watermark_delay=IN_ORDER)
-    runs.finish([runs.write_stream(counted, f"{path}/out", f"{path}/checkpoint")])
+    runs.finish([runs.write_stream(counted, f"{path}/out", f"{path}/checkpoint")], allow_late=False)
     return tables.read_table(spark, f"{path}/out", counted.schema)
 
 
@@ -497,6 +521,45 @@ def rollup_counts(spark, sf_dir):
     return log_counts.rollup_counts(spark.read.parquet(path), "1 day")
 
 
+ROLLUP_STEPS = ("1 hour", "1 day")
+
+
+def _maintained_rollup(spark, sf_dir, name):
+    """A roll-up kept up by a stream that is started again for each part; the middle part comes last."""
+    path = shared_dir(spark, name)
+    rows = views.events(spark, sf_dir)
+    first, second = F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-20").cast("timestamp")
+    ts = F.col("ts")
+    for part in (ts < first, ts >= second, (ts >= first) & (ts < second)):
+        rows.where(part).write.mode("append").parquet(f"{path}/in")
+        logs = views.logs(spark.readStream.schema(views.EVENTS).parquet(f"{path}/in"))
+        started = rollup.maintain_rollup(logs, f"{path}/rollup", f"{path}/checkpoint", ROLLUP_STEPS, fan_in=2)
+        started.awaitTermination()
+    return f"{path}/rollup"
+
+
+@query
+def rollup_counts_stream(spark, sf_dir):
+    return rollup.read_rollup(spark, _maintained_rollup(spark, sf_dir, "rollup-stream"))
+
+
+def _range_query(name: str, step: str | None) -> None:
+    """Counts of a range that begins and ends within a bucket, raw rows only at its ends."""
+
+    def run(spark, sf_dir):
+        rolled = rollup.read_rollup(spark, _maintained_rollup(spark, sf_dir, name))
+        raw = _logs(spark, sf_dir)
+        return log_ranges.range_counts(rolled, raw, *RANGE, list(ROLLUP_STEPS), step)
+
+    run.__name__ = name
+    query(run)
+
+
+RANGE = ("2024-01-03 07:41:13", "2024-01-24 16:05:59.5")
+_range_query("range_counts", None)
+_range_query("range_counts_by_day", "1 day")
+
+
 @query
 def pattern_series(spark, sf_dir):
     patterns = ["level=<_> cents=1<_> took", "level=error <_>", "<_>KiB user=\"u 1<_>\"", "absent"]

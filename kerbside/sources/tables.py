@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,13 +161,33 @@ def jdbc_options(url: str, table: str, user: str, password: str, connections: in
     }
 
 
+def time_slices(column: str, low: datetime, high: datetime, slices: int) -> list[str]:
+    """Predicates that cut [low, high] into spans of time, one for each task that reads."""
+    step = (high - low) / slices
+    cuts = [low + k * step for k in range(slices)]
+    stamp = "TIMESTAMP '{:%Y-%m-%d %H:%M:%S.%f}'".format
+    return [
+        f"{column} >= {stamp(a)} AND {column} {'<' if b else '<='} {stamp(b or high)}"
+        for a, b in zip(cuts, [*cuts[1:], None], strict=True)
+    ]
+
+
+def _read_slices(spark: SparkSession, options: dict[str, str], predicates: list[str]) -> DataFrame:
+    properties = {k: v for k, v in options.items() if k not in ("url", "dbtable", "numPartitions")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=properties)
+
+
 def jdbc_batch_writer(
-    options: dict[str, str], keys: list[str], time_column: str
+    options: dict[str, str],
+    keys: list[str],
+    time_column: str,
+    read: Callable[[SparkSession, dict[str, str], list[str]], DataFrame] = _read_slices,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends rows with new keys to a database table.
 
-    The rows already there are read for the batch's time range only; the range
-    predicate is evaluated by the database. The first run needs the table to exist.
+    The rows already there are read for the batch's time range only, one span of it
+    per connection (``numPartitions``); the predicates are evaluated by the database.
+    The first run needs the table to exist.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -176,11 +196,8 @@ def jdbc_batch_writer(
             low, high = batch.agg(F.min(time_column), F.max(time_column)).first()
             if low is None:
                 return
-            present = (
-                df.sparkSession.read.format("jdbc").options(**options).load()
-                .where(F.col(time_column).between(low, high))
-            )
-            new = append_new(batch, present, keys)
+            slices = time_slices(time_column, low, high, int(options.get("numPartitions", "8")))
+            new = append_new(batch, read(df.sparkSession, options, slices), keys)
             new.write.format("jdbc").options(**options).mode("append").save()
         finally:
             batch.unpersist()
@@ -188,6 +205,72 @@ def jdbc_batch_writer(
     return write
 
 
+def merge_statement(table: str, stage: str, columns: list[str], keys: list[str]) -> str:
+    """One statement that takes the staged rows over: new keys are added, known ones replaced.
+
+    The table needs a unique constraint on the keys; a key column must not be null.
+    """
+    name = '"{}"'.format
+    listed = ", ".join(map(name, columns))
+    rest = [c for c in columns if c not in keys]
+    change = ", ".join(f"{name(c)} = excluded.{name(c)}" for c in rest)
+    return (
+        f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {stage} "
+        f"ON CONFLICT ({', '.join(map(name, keys))}) DO {f'UPDATE SET {change}' if rest else 'NOTHING'}"
+    )
+
+
+def _stage(df: DataFrame, options: dict[str, str], stage: str) -> None:
+    df.write.format("jdbc").options(**options | {"dbtable": stage}).mode("overwrite").save()
+
+
+def jdbc_execute(spark: SparkSession, options: dict[str, str], statements: list[str]) -> None:
+    """Run statements in one transaction of the database, over the driver that Spark uses."""
+    properties = spark._jvm.java.util.Properties()
+    for name in ("user", "password"):
+        properties.setProperty(name, options[name])
+    if "driver" in options:
+        spark._jvm.java.lang.Class.forName(options["driver"])
+    connection = spark._jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().execute(statement)
+        connection.commit()
+    finally:
+        connection.close()
+
+
+def jdbc_upsert_writer(
+    options: dict[str, str],
+    keys: list[str],
+    order: str | None = None,
+    stage: Callable[[DataFrame, dict[str, str], str], None] = _stage,
+    execute: Callable[[SparkSession, dict[str, str], list[str]], None] = jdbc_execute,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that leaves one row per key in a database table.
+
+    A batch goes to a staging table of its run by as many tasks as there are
+    connections, and from there by one merge statement in one transaction, so readers
+    see a batch whole. No row is read back. A replayed batch writes the same rows
+    again, a corrected one replaces them. Of several rows of a batch with one key the
+    one with the largest ``order`` counts, or any where there is no order.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        one = df.dropDuplicates(keys)
+        if order is not None:
+            rest = F.struct(*[c for c in df.columns if c not in keys])
+            one = df.groupBy(*keys).agg(F.max_by(rest, order).alias("kept")).select(*keys, "kept.*")
+        one = one.select(*df.columns)
+        name = f"{options['dbtable']}_stage_{run_of(df).replace('-', '')[:12]}"
+        stage(one, options, name)
+        merge = merge_statement(options["dbtable"], name, df.columns, keys)
+        execute(df.sparkSession, options, [merge, f"DROP TABLE {name}"])
+
+    return write
+
+
 def source_names(averages: DataFrame) -> DataFrame:
     """The averages under the column names of the deployed table."""
     return averages.select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from kerbside.operators.quality import split_bad_times, traffic_detailed
 from kerbside.sources.tables import (
@@ -24,6 +26,7 @@ DAY_OF = {DETAIL_TABLE: "timestamp", AVERAGES_TABLE: "window_end"}
 def _start(
     df: DataFrame, sink: Sink, checkpoint: str, interval: str | None
 ) -> StreamingQuery:
+    _LATE.listen(df.sparkSession)
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(sink)
     if interval is not None:
@@ -96,17 +99,63 @@ def start_outputs(
 def finish(queries: list[StreamingQuery], allow_late: bool = True) -> int:
     """Wait for queries that stop by themselves; the first failure is raised.
 
-    Returns how many rows came after the watermark and were dropped, as far as
-    the queries' recent progress tells; with ``allow_late=False`` any is an error.
+    Returns how many rows came after the watermark and were dropped in all their
+    batches; with ``allow_late=False`` any is an error. Counted are queries that this
+    module starts; of others their recent progress.
     """
     for query in queries:
         query.awaitTermination()
-    late = sum(
-        operator["numRowsDroppedByWatermark"]
-        for query in queries
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    late = sum(_LATE.total(query) for query in queries)
     if late and not allow_late:
         raise ValueError(f"{late} rows came after the watermark")
     return late
+
+
+def _dropped(progress: StreamingQueryProgress) -> int:
+    return sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+
+
+class _LateRows(StreamingQueryListener):
+    """Rows dropped by the watermark, added up over every batch of every query."""
+
+    def __init__(self) -> None:
+        self.changed = threading.Condition()
+        self.counts: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.sessions: list[SparkSession] = []
+
+    def listen(self, spark: SparkSession) -> None:
+        if not any(known is spark for known in self.sessions):
+            spark.streams.addListener(self)
+            self.sessions.append(spark)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        with self.changed:
+            self.counts[str(event.runId)] = 0
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        with self.changed:
+            run = str(event.progress.runId)
+            self.counts[run] = self.counts.get(run, 0) + _dropped(event.progress)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def total(self, query: StreamingQuery, wait_s: float = 30) -> int:
+        """The count of an ended query; its last events may still be on their way."""
+        run = str(query.runId)
+        with self.changed:
+            if run not in self.counts:
+                return sum(
+                    operator["numRowsDroppedByWatermark"]
+                    for progress in query.recentProgress
+                    for operator in progress["stateOperators"]
+                )
+            if not self.changed.wait_for(lambda: run in self.ended, wait_s):
+                raise TimeoutError("the end of the query was not reported")
+            return self.counts[run]
+
+
+_LATE = _LateRows()

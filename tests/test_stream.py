@@ -182,3 +182,21 @@ def test_counts_close_bucket_by_bucket(spark, folder):
     whole = {tuple(r) for r in counts_by_label(logs, "level", "1 hour").collect()}
     newest = max(bucket for bucket, _, _ in whole)
     assert got == {row for row in whole if row[0] < newest - timedelta(hours=2)}
+
+
+def test_late_rows_of_all_batches_are_counted(spark, folder):
+    """More batches than Spark remembers the progress of; the late row comes early."""
+    keep = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        files = [[(0, 7200, 1.0)], [(0, 7300, 1.0)], [(0, 0, 9.0), (0, 7400, 1.0)], *[[(0, 7500 + k, 1.0)] for k in range(5)]]
+        for number, rows in enumerate(files):
+            add_file(spark, folder, rows, number)
+        means = trailing_mean_stream(arriving(spark, folder), watermark_delay="0 seconds")
+        query = write_stream(means, f"{folder}/out", f"{folder}/checkpoint")
+        assert finish([query]) == 1
+        assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 0
+        with pytest.raises(ValueError, match="1 rows"):
+            finish([query], allow_late=False)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", keep)

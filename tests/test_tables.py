@@ -112,3 +112,82 @@ def test_changed_type_is_an_error(spark, path):
     tables.write_batch(spark.createDataFrame([("x",)], "a string"), path, 0, run="b")
     with pytest.raises(ValueError, match="column a"):
         tables.read_table(spark, path)
+
+
+class StandIn:
+    """Plays a database table with a unique key: takes staged rows over by a merge statement."""
+
+    def __init__(self, keys):
+        self.keys, self.staged, self.rows, self.statements = keys, {}, {}, []
+
+    def stage(self, df, options, name):
+        self.staged[name] = [r.asDict() for r in df.collect()]
+
+    def execute(self, spark, options, statements):
+        self.statements += statements
+        merge, drop = statements
+        name = drop.removeprefix("DROP TABLE ")
+        assert merge.startswith(f'INSERT INTO {options["dbtable"]} (') and f" FROM {name} ON CONFLICT " in merge
+        for row in self.staged.pop(name):
+            self.rows[tuple(row[k] for k in self.keys)] = row
+
+
+def test_upsert_leaves_one_row_per_key(spark, tmp_path):
+    keys = ["highway_id", "window_end"]
+    held = StandIn(keys)
+    options = tables.jdbc_options("jdbc:x", "traffic_averages", "u", "p")
+    write = tables.jdbc_upsert_writer(options, keys, order="avg_speed", stage=held.stage, execute=held.execute)
+    later = datetime(2025, 2, 1)
+    for n, rows in enumerate([[("0", 1.0, T), ("1", 2.0, T)], [("0", 5.0, T), ("0", 3.0, later), ("0", 4.0, later)]]):
+        averages(spark, *rows).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    crash = [1]
+
+    def sink(df, batch_id):
+        write(df, batch_id)
+        if crash:
+            raise RuntimeError(f"lost after batch {crash.pop()}")
+
+    def run():
+        stream = spark.readStream.schema(AVERAGES).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+        query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{tmp_path}/c")
+        query.trigger(availableNow=True).start().awaitTermination()
+
+    with pytest.raises(Exception, match="lost after"):
+        run()
+    run()  # the same batch once more
+    assert {k: r["avg_speed"] for k, r in held.rows.items()} == {("0", T): 5.0, ("1", T): 2.0, ("0", later): 4.0}
+    averages(spark, ("1", 9.0, T)).coalesce(1).write.parquet(f"{tmp_path}/in/2")
+    run()  # a corrected row
+    assert {k: r["avg_speed"] for k, r in held.rows.items()} == {("0", T): 5.0, ("1", T): 9.0, ("0", later): 4.0}
+    assert not held.staged and len(held.statements) == 6
+
+
+def test_merge_statement():
+    got = tables.merge_statement("t", "s", ["a", "b"], ["a"])
+    assert got == 'INSERT INTO t ("a", "b") SELECT "a", "b" FROM s ON CONFLICT ("a") DO UPDATE SET "b" = excluded."b"'
+    assert tables.merge_statement("t", "s", ["a"], ["a"]).endswith('ON CONFLICT ("a") DO NOTHING')
+
+
+def test_slices_cover_the_range_once(spark):
+    low, high = datetime(2025, 1, 31, 0, 0, 0, 1), datetime(2025, 1, 31, 7)
+    slices = tables.time_slices("window_end", low, high, 5)
+    times = [low + (high - low) * k / 37 for k in range(38)]
+    rows = averages(spark, *[("0", float(k), t) for k, t in enumerate(times)])
+    counts = [rows.where(s).count() for s in slices]
+    assert len(slices) == 5 and sum(counts) == 38 and all(counts)
+    assert tables.time_slices("t", low, low, 1)[0].count(f"{low:%H:%M:%S.%f}") == 2
+
+
+def test_present_rows_are_read_by_many_tasks(spark, monkeypatch):
+    seen, saved = [], []
+    held = averages(spark, ("0", 1.0, T), ("0", 2.0, datetime(2025, 2, 1)))
+
+    def read(session, options, predicates):
+        seen.extend(predicates)
+        return held.where(" OR ".join(f"({p})" for p in predicates))
+
+    monkeypatch.setattr(tables, "append_new", lambda *a, real=tables.append_new: saved.append(real(*a)) or spark.range(0))
+    write = tables.jdbc_batch_writer(tables.jdbc_options("u", "t", "a", "b", 4), ["highway_id", "window_end"], "window_end", read)
+    with pytest.raises(Exception):  # no driver for the address
+        write(averages(spark, ("0", 1.0, T), ("1", 3.0, datetime(2025, 1, 31, 4))), 0)
+    assert len(seen) == 4 and [r.highway_id for r in saved[0].collect()] == ["1"]
