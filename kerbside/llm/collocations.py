@@ -26,12 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm import counting_filter as cf
-from kerbside.llm.common import bitmap_of, materialize, numbered, shuffle_partitions, text_of
+from kerbside.llm.common import bitmap_of, materialize, shuffle_partitions, text_of
 
 MIN_COUNT = 100
 MAX_WORDS = 5
@@ -150,6 +151,30 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from row(lang, block, True)
 
 
+_WORDS = "part int, number long, lang string, word string, f long, block long, place int"
+
+
+def _number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of their word: the words of this task are numbered, only a word's first row spells it."""
+    part, last, count = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.ones(n, bool)
+        new[1:] = False
+        for column in (batch.column("lang"), batch.column("word")):
+            new[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        ends = [(batch.column("lang")[k].as_py(), batch.column("word")[k].as_py()) for k in (0, n - 1)]
+        new[0] = ends[0] != last
+        numbers = count - 1 + np.cumsum(new)
+        last, count = ends[1], int(numbers[-1]) + 1
+        word = pc.if_else(pa.array(new), batch.column("word"), None)
+        columns = [pa.array(np.full(n, part, np.int32)), pa.array(numbers), batch.column("lang"), word]
+        columns += [batch.column(c) for c in ("f", "block", "place")]
+        yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _WORDS.split(", ")])
+
+
 # --- counting ----------------------------------------------------------------
 
 
@@ -263,14 +288,22 @@ def phrase_counts(
     totals = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     own = blocks.select(
         "block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry")
-    ).select("block", "lang", (F.col("place") + 1).alias("place"), "entry.words", "entry.counts")
-    often = own.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f"))
-    words, n_words = numbered(often.where(F.col("f") >= min_count), "id", "phrases-words")
+    ).select("block", "lang", (F.col("place") + 1).alias("place"), F.col("entry.words").alias("word"), "entry.counts")
+    # One shuffle both counts a word and gives its rows, one per block, the word's number.
+    f = F.sum("counts").over(Window.partitionBy("lang", "word"))
+    often = own.withColumn("f", f).where(F.col("f") >= min_count)
+    often = often.select("lang", "word", "f", "block", "place").mapInArrow(_number_words, _WORDS)
+    often = materialize(often, "phrases-words")
+    n_words, before = 0, []
+    for part, n in sorted(map(tuple, often.groupBy("part").agg(F.max("number") + 1).collect())):
+        before.append((part, n_words))
+        n_words += n
+    often = often.join(spark.createDataFrame(before, "part int, before long"), "part")
+    often = often.withColumn("id", F.col("before") + F.col("number"))
+    words = often.where("word is not null").select("lang", "word", "f", (F.col("id") + 1).alias("id"))
     words = materialize(words, "phrases-ids")
     entry = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("id"))
-    # Rare words have no id, so no entry; all rows stay up to here, whatever share is frequent.
-    known = own.join(words, (own["words"] == words["word"]) & (own["lang"] == words["lang"]), "left")
-    known = known.groupBy("block").agg(F.collect_list(entry).alias("ids"))
+    known = often.groupBy("block").agg(F.collect_list(entry).alias("ids"))
 
     width = max(2, n_words.bit_length())
     if width > 32:
@@ -287,7 +320,7 @@ def phrase_counts(
         return materialize(made, name)
 
     pairs = merged(coded.where("n = 2"), "phrases-pairs")
-    found = words.select(F.array(F.col("id") + 1).alias("key"), "f").unionByName(pairs.select("key", "f"))
+    found = words.select(F.array("id").alias("key"), "f").unionByName(pairs.select("key", "f"))
     n_pairs = pairs.count()
     if n_pairs and max_words > 2:
         map_bits = min(max(15, (64 * n_pairs).bit_length()), MAP_BITS, 2 * width)
@@ -296,7 +329,7 @@ def phrase_counts(
         more = coded.where("n = 0").select("body")
         more = more.mapInArrow(_longer(width, shard_bits, max_words, bitmap, map_bits), _FILTERS)
         found = found.unionByName(merged(more, "phrases-longer").select("key", "f"))
-    return words.withColumn("id", F.col("id") + 1), found, totals
+    return words, found, totals
 
 
 # --- phrases -----------------------------------------------------------------

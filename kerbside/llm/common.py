@@ -74,23 +74,6 @@ def range_of(column: Column, splits: list[int]) -> Column:
     return F.when(column.isNull(), -1).otherwise(F.size(F.filter(cuts, lambda s: s < column)))
 
 
-def numbered(df: DataFrame, column: str, name: str) -> tuple[DataFrame, int]:
-    """Written rows of ``df`` with dense numbers from 0, in the order of its partitions; their count.
-
-    One count per partition reaches the driver.
-    """
-    df = materialize(df.withColumn(column, F.monotonically_increasing_id()), name)
-    part = F.shiftright(column, 33)
-    total, before = 0, []
-    for number, n in sorted(map(tuple, df.groupBy(part).count().collect())):
-        before.append((number, total))
-        total += n
-    offsets = df.sparkSession.createDataFrame(before, "number__part long, number__before long")
-    rows = df.withColumn("number__part", part).join(offsets, "number__part")
-    dense = F.col("number__before") + F.col(column).bitwiseAND((1 << 33) - 1)
-    return rows.withColumn(column, dense).drop("number__part", "number__before"), total
-
-
 def bitmap_of(marks: DataFrame, bits: int) -> bytes:
     """Bitmap of ``2 ** bits`` bits with those of ``mark`` set; the lowest bit of a byte comes first.
 
