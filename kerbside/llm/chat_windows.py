@@ -159,6 +159,8 @@ def ordered_turns(conversations: DataFrame, *, model: str) -> DataFrame:
     kinds = [f"{c} {conversations.schema[c].dataType.simpleString()}" for c in ("conv_id", "turn")]
     schema = ", ".join([*kinds, _TURN])
     turns = conversations.select("conv_id", "turn", "role", "text").mapInArrow(_formatted(model), schema)
+    # Written first: a sort runs what is before it twice, once for the ranges.
+    turns = materialize(turns, "chat-pieces")
     # The last key lets equal rows of one turn be dealt to several tasks.
     turns = turns.orderBy("conv_id", "turn", F.xxhash64("piece"), F.monotonically_increasing_id())
     turns = materialize(turns.mapInArrow(_summed, f"{schema}, {_SUMMED}"), "chat-turns")
