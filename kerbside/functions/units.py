@@ -76,7 +76,8 @@ def size_bytes(text: Column) -> Column:
 
 def plain_number(text: Column) -> Column:
     """The number a text stands for; NULL where it is not a plain one."""
-    return F.when(text.rlike(FLOAT), text.try_cast("double"))
+    # One use of the text: a filter would compute it again for a second one.
+    return F.regexp_extract(text, FLOAT, 0).try_cast("double")
 
 
 READERS = {"float": plain_number, "duration": duration_seconds, "bytes": size_bytes}

@@ -27,7 +27,7 @@ INTERNAL_LABELS = ["__aggregated_metric__", "__stream_shard__"]
 def value_kind(value: Column) -> Column:
     """Kind of one text value: int, float, boolean, duration, bytes or string."""
     return (
-        F.when(value.rlike(r"^[+-]?\d+$"), "int")
+        F.when(value.rlike(r"^[+-]?\d+\z"), "int")
         .when(value.rlike(FLOAT), "float")
         .when(F.lower(value).isin("true", "false"), "boolean")
         .when(duration_seconds(value).isNotNull(), "duration")

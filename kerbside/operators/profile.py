@@ -74,14 +74,15 @@ def hourly_profile(rules: DataFrame) -> DataFrame:
 def _on_every_day(rows: DataFrame, passages: DataFrame, span: Span | None) -> DataFrame:
     """Each row once for every day of ``span``, as ``day``.
 
-    Without it, for every day the passages span: two scalar subqueries, which
-    scan their times once more. What follows unfolds a day to its minutes, so the rows are dealt out by (road, day) first; the number of
-    partitions is given, because adaptive execution would judge by the small
-    size before the unfolding.
+    Without it, for every day the passages span: a scalar subquery, which scans
+    their times once more. What follows unfolds a day to its minutes, so the rows
+    are dealt out by (road, day) first; the number of partitions is given, because
+    adaptive execution would judge by the small size before the unfolding.
     """
     if span is None:
-        first = passages.agg(F.min(F.to_date("timestamp")).alias("d")).scalar()
-        last = passages.agg(F.max(F.to_date("timestamp")).alias("d")).scalar()
+        ends = F.struct(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+        ends = passages.agg(ends.alias("ends")).scalar()
+        first, last = F.to_date(ends["first"]), F.to_date(ends["last"])
     else:
         first, last = (F.lit(day).cast("date") for day in span)
     days = F.explode(F.sequence(first, last, F.expr("interval 1 day")))

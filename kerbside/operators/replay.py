@@ -41,11 +41,12 @@ def event_gap(passages: DataFrame, speed_factor: float = SPEED_FACTOR) -> DataFr
         .withColumns({"road": road, "hour": F.date_trunc("hour", "timestamp")})
     )
     inside = Window.partitionBy("road", "hour").orderBy("timestamp")
-    hours = instants.groupBy("road", "hour").agg(F.max("timestamp").alias("last"))
+    # The count travels along, so that both uses of the instants are one scan and shuffle.
+    hours = instants.groupBy("road", "hour").agg(F.max(F.struct("timestamp", "passages")).alias("last"))
     carried = hours.select(
         "road",
         "hour",
-        F.lag("last").over(Window.partitionBy("road").orderBy("hour")).alias("carried"),
+        F.lag("last").over(Window.partitionBy("road").orderBy("hour"))["timestamp"].alias("carried"),
     )
     previous = F.coalesce(F.col("lagged"), F.col("carried"), F.col("timestamp"))
     gap_us = F.unix_micros("timestamp") - F.unix_micros(previous)

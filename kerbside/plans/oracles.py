@@ -187,6 +187,7 @@ SELECT CAST(highway_id AS VARCHAR) AS key,
   highway_id, plate, speed, ev FROM sent""",
     "decode_records": f"WITH {PASSAGES} SELECT CAST(highway_id AS VARCHAR) AS road, * FROM passages",
     "stream_ingest": f"WITH {PASSAGES} SELECT * FROM passages",
+    "stream_ingest_merged": f"WITH {PASSAGES} SELECT * FROM passages",
     "fork_outputs": f"""WITH {PASSAGES}
 SELECT 'traffic_detailed' AS table_name, CAST(highway_id AS VARCHAR) AS highway_id, count(*) AS rows
 FROM passages GROUP BY 2
@@ -197,7 +198,10 @@ FROM passages GROUP BY 2""",
     "schema_evolve": f"""WITH {PASSAGES}
 SELECT "timestamp", highway_id, plate, speed,
   CASE WHEN "timestamp" >= TIMESTAMP '2024-01-16' THEN ev END AS ev FROM passages""",
-    "traffic_averages": f"""WITH {PASSAGES}, {_means()}
+    "traffic_averages": f"""WITH {PASSAGES.replace("passages AS", "own AS")}, passages AS (
+  SELECT "timestamp", speed,
+    left(CAST(highway_id + (day("timestamp") % 3 + 1) * 10 AS VARCHAR), 1) AS highway_id FROM own
+), {_means()}
 SELECT avg_speed, window_start AS window_start_ms, window_end AS window_end_ms,
   left(highway_id, 1) AS new_keys FROM means""",
     "summary_table": f"""WITH {PASSAGES}, {_means()}
@@ -316,6 +320,10 @@ SELECT * FROM pairs WHERE id NOT IN (SELECT id FROM json_rows)""",
 WHERE bucket + INTERVAL 1 hour <= (SELECT date_trunc('millisecond', max(ts)) FROM events)""",
     "counts_by_field": """SELECT date_trunc('day', ts) AS bucket,
   json_extract_string(props, '$.k') AS value, count(*) AS count FROM events GROUP BY 1, 2""",
+    "counts_by_field_body": """SELECT date_trunc('day', ts) AS bucket,
+  json_extract_string(props, '$.k') AS value, count(*) AS count FROM events GROUP BY 1, 2""",
+    "avg_field_body": """SELECT date_trunc('hour', ts) AS bucket,
+  avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS avg, count(*) AS count FROM events GROUP BY 1""",
     "avg_field": _avg("avg(cents)"),
     "avg_field_duration": _avg(f"round(avg(cents / 1000.0::DOUBLE), {DIGITS})"),
     "avg_field_bytes": _avg("avg(cents * 1024)"),
@@ -336,6 +344,10 @@ FROM events WHERE {_IN_RANGE} GROUP BY 1, 2""",
 )
 SELECT pattern, bucket, count, CAST(sum(count) OVER (PARTITION BY pattern) AS BIGINT) AS total
 FROM series""",
+    "pattern_series_many": """SELECT pattern, bucket, count(*) AS count,
+  CAST(sum(count(*)) OVER (PARTITION BY pattern) AS BIGINT) AS total
+FROM (SELECT 'level=' || event_type || ' cents=<_> user="u ' || user_id || '"' AS pattern,
+  date_trunc('day', ts) AS bucket FROM events) GROUP BY pattern, bucket""",
     "rank_series": _RANKS,
     "rank_series_by_name": _RANKS,
     "rank_series_by_sum": _RANKS,
@@ -354,7 +366,9 @@ SELECT field, count(DISTINCT value) AS cardinality, min(parser) AS parser,
 FROM seen WHERE field != 'level' GROUP BY field""",
     "detected_labels": """SELECT 'lang' AS label, count(DISTINCT lang) AS cardinality FROM documents
 UNION ALL SELECT 'source', count(DISTINCT source) FROM documents""",
-    "label_names": "SELECT unnest(['level', 'service']) AS label",
+    "label_names": """SELECT 'level' AS label FROM events
+UNION SELECT 'service' FROM events WHERE event_type <> 'view'
+UNION SELECT 'code' FROM events WHERE event_type = 'error' ORDER BY 1""",
     "label_values": "SELECT DISTINCT source AS value FROM documents ORDER BY 1",
     "label_coverage": f"""WITH {LOGS}, pairs AS (
   SELECT 'service' AS label, service AS value FROM logs

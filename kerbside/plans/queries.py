@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import event_time, road
 from kerbside.operators import basics, profile, quality, replay, trailing
-from kerbside.operators import log_counts, log_discover, log_filters, log_parse, log_ranges
+from kerbside.operators import log_bodies, log_counts, log_discover, log_filters, log_parse
+from kerbside.operators import log_patterns, log_ranges
 from kerbside.plans import views
 from kerbside.schema import AVERAGES, PASSAGES, RAW_PASSAGES
 from kerbside.session import configure, shared_dir
 from kerbside.sources import passages as passage_files
-from kerbside.sources import records, tables
+from kerbside.sources import records, snapshots, tables
 from kerbside.streaming import clocks, rollup, runs
 from kerbside.streaming import counts as stream_counts
 from kerbside.streaming import trailing as stream_trailing
@@ -101,6 +102,19 @@ def stream_ingest(spark, sf_dir):
     return tables.read_table(spark, f"{path}/out", PASSAGES)
 
 
+@query
+def stream_ingest_merged(spark, sf_dir):
+    """The detail table from small batches, whose parts are merged as they come."""
+    path = shared_dir(spark, "ingest-merged")
+    sent = records.encode_records(views.passages_at_source(views.events(spark, sf_dir)))
+    sent.repartition(6).write.parquet(f"{path}/records")
+    decoded = records.decode_records(records.read_record_files(spark, f"{path}/records", max_files_per_trigger=2))
+    out = quality.traffic_detailed(quality.split_bad_times(decoded)[0])
+    sink = snapshots.snapshot_writer(f"{path}/out", "timestamp", fan_in=2)
+    runs.finish([runs.write_stream(out, f"{path}/out", f"{path}/checkpoint", sink=sink)])
+    return snapshots.read(spark, f"{path}/out").select(*PASSAGES.names)
+
+
 @query
 def fork_outputs(spark, sf_dir):
     path = _sent_records(spark, sf_dir, "fork")
@@ -141,8 +155,13 @@ def schema_evolve(spark, sf_dir):
 
 @query
 def traffic_averages(spark, sf_dir):
-    """The deployed table: keyed by the first digit of the road, under its own names."""
-    sent = records.encode_records(views.passages_at_source(views.events(spark, sf_dir)))
+    """The deployed table: keyed by the first digit of the road, under its own names.
+
+    Roads have two digits here, so that several become one.
+    """
+    rows = views.passages_at_source(views.events(spark, sf_dir))
+    tens = (F.dayofmonth("timestamp") % 3 + 1) * 10
+    sent = records.encode_records(rows.withColumn("highway_id", F.col("highway_id") + tens))
     good, _ = quality.split_bad_times(records.decode_records(sent, first_digit_only=True))
     means = trailing.trailing_mean(good, key="road")
     return _rounded(tables.source_names(means), "avg_speed")
@@ -493,6 +512,25 @@ def counts_by_field(spark, sf_dir):
     return log_counts.counts_by_field(parsed, "k", "1 day")
 
 
+def _bodies(spark, sf_dir, name):
+    """Log rows stored with their lines parsed and shredded."""
+    path = shared_dir(spark, name)
+    snapshots.append_batch(log_bodies.with_body(_logs(spark, sf_dir)), path, 0, run="first")
+    return snapshots.read(spark, path)
+
+
+@query
+def counts_by_field_body(spark, sf_dir):
+    fields = log_bodies.body_fields(_bodies(spark, sf_dir, "counts-body"), "k")
+    return log_counts.counts_by_field(fields, "k", "1 day")
+
+
+@query
+def avg_field_body(spark, sf_dir):
+    fields = log_bodies.body_fields(_bodies(spark, sf_dir, "avg-body"), "k")
+    return log_counts.avg_field(fields, "k", "1 hour")
+
+
 def _avg_query(name: str, field: str, unit: str) -> None:
     def run(spark, sf_dir):
         parsed = log_parse.parse_fields(_logfmt(spark, sf_dir), "logfmt")
@@ -566,6 +604,15 @@ def pattern_series(spark, sf_dir):
     return log_counts.pattern_series(_logfmt(spark, sf_dir), patterns, "6 hours")
 
 
+@query
+def pattern_series_many(spark, sf_dir):
+    """A pattern for every level and user that the lines hold."""
+    rows = _logfmt(spark, sf_dir)
+    user = F.regexp_extract("line", 'user="(.*)"', 1)
+    pattern = F.concat(F.lit("level="), F.col("labels")["level"], F.lit(' cents=<_> user="'), user, F.lit('"'))
+    return log_patterns.pattern_series_of(rows, rows.select(pattern.alias("pattern")), "1 day")
+
+
 def _rank_query(name: str, by: str, ascending: bool | None = None) -> None:
     def run(spark, sf_dir):
         counted = log_counts.counts_by_label(_logs(spark, sf_dir), "level", "1 hour")
@@ -596,7 +643,12 @@ def detected_labels(spark, sf_dir):
 
 @query
 def label_names(spark, sf_dir):
-    return log_discover.label_names(_logs(spark, sf_dir))
+    """Errors carry a label of their own, and views have no service."""
+    rows, level = _logs(spark, sf_dir), F.col("labels")["level"]
+    code = F.map_concat("labels", F.create_map(F.lit("code"), F.col("line")))
+    bare = F.map_filter("labels", lambda k, _: k != "service")
+    labels = F.when(level == "error", code).when(level == "view", bare).otherwise(F.col("labels"))
+    return log_discover.label_names(rows.withColumn("labels", labels))
 
 
 @query

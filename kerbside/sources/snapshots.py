@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.sources.tables import run_of
+
 SNAPSHOTS = "_snapshots"
 # Folders of parts, in the form of a partition, so that many are read as one table.
 PART = "snapshot_part"
@@ -172,6 +174,23 @@ def append_batch(
     return commit(spark, path, add)
 
 
+def snapshot_writer(
+    path: str, time_column: str | None = None, unit: str = "day", *, fan_in: int = FAN_IN
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds each batch as a part and merges small parts.
+
+    With ``time_column`` the table is split by that time's day or hour.
+    """
+    split = (SLOT,) if time_column else ()
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rows = df.withColumn(SLOT, slot_of(time_column, unit)) if time_column else df
+        append_batch(rows, path, batch_id, run=run_of(df), split=split)
+        compact(df.sparkSession, path, fan_in=fan_in)
+
+    return write
+
+
 def keep_batches(spark: SparkSession, path: str, run: str, first: int) -> Snapshot:
     """Take a run's batches before ``first`` out of the table, for tables that a batch replaces."""
 
@@ -264,10 +283,3 @@ def read(
     whole = T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
     reader = spark.read.option("basePath", path).schema(whole)
     return reader.parquet(*folders).select(*schema.names)
-
-
-def in_slots(rows: DataFrame, first: str, last: str, unit: str) -> DataFrame:
-    """Rows whose slot lies between those of two times (text), so that no other files are opened."""
-    form = SLOT_FORMS[unit]
-    ends = [F.date_format(F.lit(t).cast("timestamp"), form) for t in (first, last)]
-    return rows.where(F.col(SLOT).between(*ends))

@@ -35,14 +35,14 @@ def _start(
 
 
 def write_stream(
-    df: DataFrame, path: str, checkpoint: str, interval: str | None = None
+    df: DataFrame, path: str, checkpoint: str, interval: str | None = None, sink: Sink | None = None
 ) -> StreamingQuery:
-    """Write a stream to the table at ``path``, batch by batch.
+    """Write a stream to the table at ``path`` (or to ``sink``), batch by batch.
 
     With ``interval`` the query runs on; without it it takes what is there and
     stops. Progress is kept in ``checkpoint``, which must be a shared folder.
     """
-    return _start(df, batch_writer(path), checkpoint, interval)
+    return _start(df, sink or batch_writer(path), checkpoint, interval)
 
 
 def start_outputs(
