@@ -23,9 +23,10 @@ library, the distinct ones of a batch at once, and remembered by the worker.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
-from itertools import accumulate
+from itertools import accumulate, groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import materialize, text_of
+from kerbside.llm.common import materialize, shuffle_partitions, text_of
 
 MARK = "▁"
 # Characters per chunk; longer texts are giant and are split.
@@ -403,33 +404,50 @@ def _matrices(path: str):
     return matrices
 
 
-def _made(rows: pd.DataFrame) -> list[Matrix]:
-    return [
-        {(int(a), int(b)): 0.0 for a, b in zip(e, x, strict=True)}
-        for e, x in zip(rows["entry"], rows["leave"], strict=True)
-    ]
+def _in_groups(keys: tuple[str, ...], use: Callable[[list[dict]], Iterator[dict]], schema: str):
+    """Applies ``use`` to the rows of each group, for partitions sorted by the group's keys.
 
+    Far cheaper per group than a grouped map, of which most texts have only one chunk or two.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for batch in batches for row in batch.to_dict("records"))
+        made = (out for _, group in groupby(rows, itemgetter(*keys)) for out in use(list(group)))
+        while some := list(islice(made, 1000)):
+            yield pd.DataFrame(some, columns=names)
+
+    return run
+
+
+def _made(rows: list[dict]) -> list[Matrix]:
+    return [{(int(a), int(b)): 0.0 for a, b in zip(r["entry"], r["leave"], strict=True)} for r in rows]
 
-def _product(rows: pd.DataFrame) -> pd.DataFrame:
+
+def _product(rows: list[dict]) -> Iterator[dict]:
     """The matrix of a span of chunks."""
-    rows = rows.sort_values("chunk")
     whole = reduce(compose, _made(rows))
-    first = rows[["row", "span"]].iloc[:1]
-    return first.assign(entry=[[a for a, _ in whole]], leave=[[b for _, b in whole]])
+    entry, leave = [a for a, _ in whole], [b for _, b in whole]
+    yield {"row": rows[0]["row"], "span": rows[0]["span"], "entry": entry, "leave": leave}
 
 
-def _scan(rows: pd.DataFrame) -> pd.DataFrame:
+def _scan(rows: list[dict]) -> Iterator[dict]:
     """States at the ends of one text's spans."""
-    rows = rows.sort_values("span")
     found = path_states(_made(rows))
-    return rows[["row", "span"]].assign(first=found[:-1], last=found[1:])
+    for row, first, last in zip(rows, found, found[1:], strict=False):
+        yield {"row": row["row"], "span": row["span"], "first": first, "last": last}
 
 
-def _scan_span(rows: pd.DataFrame) -> pd.DataFrame:
+def _scan_span(rows: list[dict]) -> Iterator[dict]:
     """States of the chunks of one span, between those at its ends."""
-    rows = rows.sort_values("chunk")
-    found = path_states(_made(rows), int(rows["first"].iloc[0]), int(rows["last"].iloc[0]))
-    return rows[["row", "chunk"]].assign(entry=found[:-1], leave=found[1:])
+    found = path_states(_made(rows), int(rows[0]["first"]), int(rows[0]["last"]))
+    for row, entry, leave in zip(rows, found, found[1:], strict=False):
+        yield {"row": row["row"], "chunk": row["chunk"], "entry": entry, "leave": leave}
+
+
+def _dealt(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    tasks = shuffle_partitions(rows.sparkSession)
+    return rows.repartition(tasks, *keys).sortWithinPartitions(*keys, order)
 
 
 def _chunk_encoder(path: str):
@@ -468,12 +486,12 @@ def encode(docs: DataFrame, *, model: str, keep: list[str], chunk_chars: int = C
     )
     # A tree of two levels: products of spans, states at their ends, states inside.
     sides = materialize(sides, "piece-matrices")
-    spans = sides.groupBy("row", "span").applyInPandas(
-        _product, "row long, span int, entry array<int>, leave array<int>"
-    )
-    ends = spans.groupBy("row").applyInPandas(_scan, "row long, span int, first int, last int")
-    states = sides.join(ends, ["row", "span"]).groupBy("row", "span")
-    states = states.applyInPandas(_scan_span, "row long, chunk int, entry int, leave int")
+    of_span, of_ends = "row long, span int, entry array<int>, leave array<int>", "row long, span int, first int, last int"
+    spans = _dealt(sides, ["row", "span"], "chunk").mapInPandas(_in_groups(("row", "span"), _product, of_span), of_span)
+    ends = _dealt(spans, ["row"], "span").mapInPandas(_in_groups(("row",), _scan, of_ends), of_ends)
+    of_chunks = "row long, chunk int, entry int, leave int"
+    states = _dealt(sides.join(ends, ["row", "span"]), ["row", "span"], "chunk")
+    states = states.mapInPandas(_in_groups(("row", "span"), _scan_span, of_chunks), of_chunks)
     traced = chunks.drop("span").join(states, ["row", "chunk"]).select(
         "row", "chunk", "pieces__kept",
         _chunk_encoder(model)("window", "begin", "end", "entry", "leave").alias("part"),

@@ -256,7 +256,8 @@ def test_chunks_equal_the_whole(model, library, text, size):
     assert left == right
 
 
-def test_encoded_tables(spark, documents, library, nothing):
+def test_encoded_tables(spark, documents, library, nothing, monkeypatch):
+    monkeypatch.setattr(pieces, "SPAN_CHUNKS", 5)
     path = tokenizer("piece_bpe_32k.model")
     for size in (64, pieces.CHUNK_CHARS):
         rows = pieces.decode(pieces.encode(documents, model=path, keep=["doc_id", "text"], chunk_chars=size), model=path)
