@@ -36,7 +36,7 @@ def value_kind(value: Column) -> Column:
     )
 
 
-def _kind_of_all(kinds: str) -> Column:
+def kind_of_all(kinds: str) -> Column:
     """Kind of a field from the set of its values' kinds; int widens to float."""
     held = F.col(kinds)
     return (
@@ -80,7 +80,7 @@ def detected_fields(logs: DataFrame, approximate: bool = False) -> DataFrame:
         "field",
         "cardinality",
         which_parser(F.col("in_json"), F.col("in_logfmt")).alias("parser"),
-        _kind_of_all("kinds").alias("kind"),
+        kind_of_all("kinds").alias("kind"),
     )
 
 

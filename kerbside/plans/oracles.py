@@ -188,6 +188,11 @@ SELECT CAST(highway_id AS VARCHAR) AS key,
     "decode_records": f"WITH {PASSAGES} SELECT CAST(highway_id AS VARCHAR) AS road, * FROM passages",
     "stream_ingest": f"WITH {PASSAGES} SELECT * FROM passages",
     "stream_ingest_merged": f"WITH {PASSAGES} SELECT * FROM passages",
+    "rescued_members": f"""WITH {PASSAGES}
+SELECT 'lane' AS member, CAST(count(*) AS BIGINT) AS rows, 'int' AS kind FROM passages WHERE ev
+UNION ALL SELECT 'note', CAST(count(*) AS BIGINT), 'string' FROM passages WHERE speed > 50""",
+    "promoted_members": f"""WITH {PASSAGES}
+SELECT *, CASE WHEN ev THEN highway_id + 1 END AS lane, CASE WHEN speed > 50 THEN 'fast' END AS note FROM passages""",
     "fork_outputs": f"""WITH {PASSAGES}
 SELECT 'traffic_detailed' AS table_name, CAST(highway_id AS VARCHAR) AS highway_id, count(*) AS rows
 FROM passages GROUP BY 2
@@ -329,6 +334,8 @@ WHERE bucket + INTERVAL 1 hour <= (SELECT date_trunc('millisecond', max(ts)) FRO
     "avg_field_bytes": _avg("avg(cents * 1024)"),
     "label_volume": """SELECT source AS value, CAST(sum(strlen(text)) AS BIGINT) AS volume FROM documents
 GROUP BY 1 ORDER BY 2 DESC, 1""",
+    "label_volume_top": """SELECT 'u' || user_id AS value, CAST(sum(strlen(props)) AS BIGINT) AS volume FROM events
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
     "rollup_counts": _ROLLED,
     "rollup_counts_stream": """SELECT step, bucket, service, level, count(*) AS count FROM (
   SELECT '1 hour' AS step, date_trunc('hour', ts) AS bucket, 's' || (user_id % 4) AS service,

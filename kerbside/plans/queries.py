@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from kerbside.functions import event_time, road
 from kerbside.operators import basics, profile, quality, replay, trailing
 from kerbside.operators import log_bodies, log_counts, log_discover, log_filters, log_parse
-from kerbside.operators import log_patterns, log_ranges
+from kerbside.operators import log_frequent, log_patterns, log_ranges
 from kerbside.plans import views
 from kerbside.schema import AVERAGES, PASSAGES, RAW_PASSAGES
 from kerbside.session import configure, shared_dir
 from kerbside.sources import passages as passage_files
-from kerbside.sources import records, snapshots, tables
+from kerbside.sources import records, rescue, snapshots, tables
 from kerbside.streaming import clocks, rollup, runs
 from kerbside.streaming import counts as stream_counts
 from kerbside.streaming import trailing as stream_trailing
@@ -115,6 +115,26 @@ def stream_ingest_merged(spark, sf_dir):
     return snapshots.read(spark, f"{path}/out").select(*PASSAGES.names)
 
 
+def _with_more_members(spark, sf_dir):
+    """Decoded records that have one member or two more than the schema, depending on their kind."""
+    rows = views.passages_at_source(views.events(spark, sf_dir))
+    lane = F.when(F.col("ev"), F.col("highway_id") + 1)
+    sent = records.encode_records(rows, lane=lane, note=F.when(F.col("speed") > 50, F.lit("fast")))
+    return records.decode_records(sent)
+
+
+@query
+def rescued_members(spark, sf_dir):
+    return rescue.rescued_members(rescue.with_rescued(_with_more_members(spark, sf_dir))).drop("share")
+
+
+@query
+def promoted_members(spark, sf_dir):
+    rows = rescue.promote(rescue.with_rescued(_with_more_members(spark, sf_dir)), {"lane": "int"})
+    rows = rows.withColumn("note", F.col(rescue.RESCUED)["note"])
+    return quality.traffic_detailed(rows, "lane", "note")
+
+
 @query
 def fork_outputs(spark, sf_dir):
     path = _sent_records(spark, sf_dir, "fork")
@@ -552,6 +572,14 @@ def label_volume(spark, sf_dir):
     return log_counts.label_volume(_document_logs(spark, sf_dir), "source")
 
 
+@query
+def label_volume_top(spark, sf_dir):
+    """The largest users by bytes, the buckets left out being the proof."""
+    user = F.create_map(F.lit("user"), F.concat(F.lit("u"), F.col("user_id")))
+    logs = views.events(spark, sf_dir).select(user.alias("labels"), F.col("props").alias("line"))
+    return log_frequent.top_values(logs, "user", 20).select("value", "volume")
+
+
 @query
 def rollup_counts(spark, sf_dir):
     path = shared_dir(spark, "rollup")

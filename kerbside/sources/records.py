@@ -13,12 +13,14 @@ from kerbside.schema import DETAIL_COLUMNS, RAW_PASSAGES, RECORDS
 TOPIC = "traffic-events"
 
 
-def encode_records(passages: DataFrame) -> DataFrame:
-    """One record per passage: the road number as key, the whole row as JSON."""
+def encode_records(passages: DataFrame, **members: Column) -> DataFrame:
+    """One record per passage: the road number as key, the whole row as JSON.
+
+    ``members`` are further members by name.
+    """
     text = passages.withColumn("timestamp", format_event_time(F.col("timestamp")))
-    value = F.to_json(
-        F.struct(*DETAIL_COLUMNS), {"ignoreNullFields": "false"}
-    )
+    more = [column.alias(name) for name, column in members.items()]
+    value = F.to_json(F.struct(*DETAIL_COLUMNS, *more), {"ignoreNullFields": "false"})
     return text.select(
         encode_key(F.col("highway_id")).alias("key"),
         value.cast("binary").alias("value"),
