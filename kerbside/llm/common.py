@@ -88,3 +88,17 @@ def bitmap_of(marks: DataFrame, bits: int) -> bytes:
         at = (row["piece"] - 1) * 4096
         out[at : at + len(row["bits"])] = row["bits"]
     return bytes(out)
+
+
+def bounded_sample(ids: DataFrame, n: int, salt: str = "") -> DataFrame:
+    """At most ``n`` rows of ``doc_id``, those of the least hashes, the same on every run.
+
+    A bound on the hash, set from the number of rows, leaves about ``n`` of them before
+    any are compared, so the tasks together send no more than that.
+    """
+    hashed = F.xxhash64("doc_id", F.lit(salt))
+    total = ids.count()
+    if total > n:
+        share = min(1.0, (n + 5 * n**0.5 + 20) / total)
+        ids = ids.where(F.pmod(F.xxhash64(hashed), F.lit(1 << 40)) < int(share * (1 << 40)))
+    return ids.orderBy(F.pmod(F.xxhash64(hashed), F.lit(1 << 40)), "doc_id").limit(n)

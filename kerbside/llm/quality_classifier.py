@@ -8,7 +8,7 @@ of the other. Each view is then calibrated on labelled rows that it did not
 learn from, and the calibrated views are combined by a last logistic fit there,
 so a view without information ends with no weight.
 
-Fitting takes bounded samples (``LABELLED``, ``POOL``) of features made on the
+Fitting takes bounded samples (arguments of :func:`train`) of features made on the
 executors; scoring covers all texts in one pass without a shuffle.
 """
 
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import text_of
+from kerbside.llm.common import bounded_sample, text_of
 from kerbside.llm.toxicity import held_out
 
 LABELLED = 12_000
@@ -183,20 +183,23 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_of().alias("text"), "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
-    """Fit on bounded samples of the rows that are not held out."""
-    marked = labels.where(~held_out() & F.col("quality").isNotNull())
-    marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    draw = [F.xxhash64("doc_id"), F.col("doc_id")]
-    known = marked.where("doc_id is not null").orderBy(*draw).limit(LABELLED)
-    some = docs.where(F.col("doc_id").isNotNull()).select("doc_id")
-    # Another order than that of the labelled rows, so that the pool has others.
-    pool = some.orderBy(F.xxhash64("doc_id", F.lit("pool")), "doc_id").limit(POOL)
-    ids = known.select("doc_id", F.col("quality").cast("double").alias("quality")).unionByName(
-        pool.withColumn("quality", F.lit(-1.0))
-    )
-    # At most LABELLED + POOL ids are broadcast.
+def train(
+    docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, pool: int = POOL
+) -> CoTrained | None:
+    """Fit on samples of at most so many rows, the labelled ones not held out.
+
+    An id is of the least quality that its labels give; of rows that share an id the
+    first by text is used. Rows without an id are not sampled.
+    """
+    marked = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    marked = marked.groupBy("doc_id").agg(F.min("quality").cast("double").alias("quality"))
+    known = bounded_sample(marked, labelled, "labelled")
+    free = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    ids = known.unionByName(bounded_sample(free, pool, "pool").withColumn("quality", F.lit(-1.0)))
+    # At most labelled + pool ids are broadcast.
     chosen = _columns(docs).join(F.broadcast(ids), "doc_id")
+    rest = F.struct("text", "lang", "source", "n_chars")
+    chosen = chosen.groupBy("doc_id", "quality").agg(F.min(rest).alias("row")).select("doc_id", "quality", "row.*")
     made = chosen.mapInPandas(
         _featurise, "doc_id long, quality double, text array<double>, meta array<double>"
     ).toPandas()

@@ -7,7 +7,8 @@ rows that are nearest by Mahalanobis distance, estimate again, and repeat
 (Rousseeuw and Van Driessen, 1999). Several starts run side by side, as groups
 of their own: all rows, medians with median deviations, and small subsets
 chosen by hash; the one of least determinant is taken. Rows beyond a fixed
-quantile of the chi-squared distribution are rejected.
+quantile of the chi-squared distribution are rejected. Equal vectors count once:
+copies have no spread, so a half made of them would have the least determinant.
 
 Each step is one grouped sum of products, combined before the shuffle, and one
 join with the groups' estimates. The nearest half is read from a histogram of
@@ -47,7 +48,8 @@ CUTOFF = 23.513
 # Consistency of a covariance from the nearest half in 4 dimensions, for normal rows:
 # 0.5 / P(chi-squared with 6 degrees <= the 0.5 quantile with 4).
 CONSISTENCY = 0.5 / 0.23707
-MIN_GROUP = 50
+# Least rows of a group that is judged by itself: five for each dimension.
+MIN_GROUP = 20
 # Bins of ln(squared distance), of width 1/BIN.
 BIN = 32
 
@@ -165,8 +167,7 @@ def _estimates(rows: DataFrame) -> DataFrame:
 def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Add ``d2``, the squared Mahalanobis distance from the group's estimate.
 
-    The estimates have one row per group of at least ``MIN_GROUP`` rows; rows
-    without an estimate get null.
+    Rows of a group without an estimate get null.
     """
     out = rows.join(estimates, "grp", "left")
     for i, f in enumerate(FEATURES):
@@ -241,38 +242,68 @@ def _nearest(rows: DataFrame) -> DataFrame:
     return rows.join(last, "grp").where("bin <= last_bin").drop("bin", "last_bin", "d2")
 
 
+def _name(column: str) -> Column:
+    return F.when(F.col(column).isNull(), "-").otherwise(F.concat(F.lit("="), F.col(column)))
+
+
+def _levels(good: DataFrame) -> DataFrame:
+    """Per language and source the group that its rows are judged in: ``lang, source, grp, level``.
+
+    Its own, or that of all rows of its language, or that of all rows, whichever is
+    the first with ``MIN_GROUP`` rows.
+    """
+    sizes = good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sizes.withColumn("of_lang", F.sum("own").over(Window.partitionBy("lang")))
+    total = sizes.agg(F.sum("own")).scalar()
+    level = (
+        F.when(F.col("own") >= MIN_GROUP, "source")
+        .when(F.col("of_lang") >= MIN_GROUP, "language")
+        .when(total >= MIN_GROUP, "all")
+    )
+    return materialize(sizes.select("lang", "source", level.alias("level")), "rules-levels")
+
+
+def _group(level: Column) -> Column:
+    """Name of a row's group on a level."""
+    return (
+        F.when(level == "source", F.concat_ws("/", F.lit("s"), _name("lang"), _name("source")))
+        .when(level == "language", F.concat_ws("/", F.lit("l"), _name("lang")))
+        .when(level == "all", "a")
+    )
+
+
 def judge(docs: DataFrame, *, steps: int = STEPS) -> DataFrame:
     """Base statistics and verdict of every document.
 
     Returns ``doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept``, and ``distance2`` (null where no
-    estimate was needed or possible), one row per input row. Null text has no
-    words and fails; null languages and sources are groups of their own; groups
-    with fewer than ``MIN_GROUP`` rows that pass the base rules are judged as
-    one; if even that is small, its rows are kept; rows equal in all columns
-    count separately; other columns are ignored.
+    n_repeat_words, base_failed, kept``, ``distance2`` (null where no estimate was
+    needed or possible) and ``level``, one row per input row. Null text has no
+    words and fails; null languages and sources are groups of their own. A group
+    with fewer than ``MIN_GROUP`` rows that pass the base rules is judged by the
+    estimate of all rows of its language, or else of all rows; ``level`` tells which
+    it was: ``source``, ``language``, ``all``, or null where even these are fewer,
+    and the rows are kept. Other columns are ignored.
     """
     stats = base_statistics(docs).withColumn("base_failed", base_failed())
-    stats = materialize(stats, "rules-statistics")
-    name = F.concat_ws(
-        "/",
-        *[F.when(F.col(c).isNull(), "-").otherwise(F.concat(F.lit("="), c)) for c in ("lang", "source")],
-    )
-    vectors = stats.select("*", name.alias("own"), *feature_vector())
+    vectors = materialize(stats.select("*", *feature_vector()), "rules-statistics")
     good = vectors.where("not base_failed")
-    sizes = good.groupBy("own").agg(F.count(F.lit(1)).alias("members"))
-    merged = F.when(F.col("members") >= MIN_GROUP, F.col("own")).otherwise("*")
-    groups = materialize(sizes.select("own", merged.alias("grp"), "members"), "rules-groups")
-    big = groups.groupBy("grp").agg(F.sum("members").alias("all")).where(F.col("all") >= MIN_GROUP)
-    rows = good.join(groups, "own").join(big, "grp").select("grp", *FEATURES)
-    rows = materialize(rows, "rules-rows")
-    estimate = fitted(rows, steps=steps)
-    placed = vectors.join(groups.select("own", "grp"), "own", "left")
+    levels = _levels(good)
+    # A row takes part in the estimates of all levels that some row is judged on.
+    used = levels.where("level is not null").select("lang", "source", _group(F.col("level")).alias("grp"))
+    used = materialize(used.select("grp").distinct(), "rules-groups")
+    names = F.explode(F.array(*[_group(F.lit(x)) for x in ("source", "language", "all")])).alias("grp")
+    rows = good.select(names, *FEATURES).join(used, "grp").distinct()
+    estimate = fitted(materialize(rows, "rules-rows"), steps=steps)
+    same = vectors["lang"].eqNullSafe(levels["lang"]) & vectors["source"].eqNullSafe(levels["source"])
+    placed = vectors.join(levels, same, "left").drop(levels["lang"], levels["source"])
+    placed = placed.withColumn("grp", _group(F.col("level")))
     scored = _with_distance(placed, estimate)
     far = F.coalesce(F.col("d2") > CUTOFF, F.lit(False))
+    passed = ~F.col("base_failed")
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed",
-        (~F.col("base_failed") & ~far).alias("kept"),
-        F.when(~F.col("base_failed"), F.col("d2")).alias("distance2"),
+        (passed & ~far).alias("kept"),
+        F.when(passed, F.col("d2")).alias("distance2"),
+        F.when(passed, F.col("level")).alias("level"),
     )

@@ -4,13 +4,16 @@ A linear classifier on words and word beginnings is trained from confirmed
 toxic texts (positives) and a sample of all texts (unlabelled). With the class
 prior p, the risk on negatives is estimated as the unlabelled risk minus p
 times the positives' risk; where a batch drives this below zero, the step
-undoes the overfit instead. Texts that are marked as not toxic take no part in
-that; they only give the prior, and a fifth of the marked training rows, which
-the classifier does not learn from, calibrates its scores to probabilities.
+undoes the overfit instead. Texts that are marked as not toxic take no part.
 
-Fitting takes bounded samples (``POSITIVES``, ``UNLABELLED``, ``CALIBRATING``)
-whose features are made on the executors; scoring covers all texts, one pass, no
-shuffle.
+A quarter of both samples is set apart. On it the prior is the least ratio of
+the unlabelled texts to the positives among those that score above some
+threshold, as the positives alone are there where the classifier is sure (Garg et
+al., 2021), and the scores are made probabilities by the scale and shift of
+least risk, which for the logistic loss is a convex problem.
+
+Fitting takes bounded samples (arguments of :func:`train`) whose features are made on
+the executors; scoring covers all texts, one pass, no shuffle.
 """
 
 from __future__ import annotations
@@ -24,11 +27,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import text_of
+from kerbside.llm.common import bounded_sample, text_of
 
-POSITIVES = 3_000
-UNLABELLED = 6_000
-CALIBRATING = 4_000
+POSITIVES = 4_000
+UNLABELLED = 8_000
+# Every so manieth row of both samples is set apart, and the prior of the first fit.
+APART = 4
+FIRST_PRIOR = 0.2
 WIDTH = 1 << 18
 PREFIX = 4
 # Features of fewer positives are left out, and weights are drawn to zero by L1: a
@@ -73,6 +78,25 @@ def _spread(n: int) -> float:
     return 1.0 / np.sqrt(max(n, 1))
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def risk_slope(z: np.ndarray, is_p: np.ndarray, prior: float) -> np.ndarray:
+    """Derivative of a batch's risk by each text's logit.
+
+    The risk is p times the loss of positives as positives, plus the risk on negatives: the
+    loss of unlabelled texts as negatives less p times that of positives. Where the
+    latter is below zero, the step goes up its own slope.
+    """
+    n_p, n_u, sig = is_p.sum(), (~is_p).sum(), _sigmoid(z)
+    as_negative = np.logaddexp(0, z)
+    rest = as_negative[~is_p].mean() - prior * as_negative[is_p].mean()
+    up = np.where(is_p, prior * (sig - 1) / n_p, 0)
+    down = np.where(is_p, -prior * sig / n_p, sig / n_u)
+    return up + down if rest >= 0 else -down
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed=7) -> Model:
     """Minimise the non-negative risk of a logistic loss by Adam with soft thresholds.
 
@@ -100,14 +124,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
             at = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
             index = np.concatenate(texts)
             z = np.bincount(at, weights[index], len(texts)) * scale + bias
-            sig = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            is_p = np.arange(len(texts)) < len(p_rows)
-            n_p, n_u = len(p_rows), len(u_rows)
-            as_negative = np.logaddexp(0, z)
-            rest = as_negative[~is_p].mean() - prior * as_negative[is_p].mean()
-            # Derivatives of each text's loss by its logit.
-            up, down = np.where(is_p, prior * (sig - 1) / n_p, 0), np.where(is_p, -prior * sig / n_p, sig / n_u)
-            slope = up + down if rest >= 0 else -down
+            slope = risk_slope(z, np.arange(len(texts)) < len(p_rows), prior)
             grad = np.bincount(index, (slope * scale)[at], WIDTH)
             grad = np.append(grad + L2 * weights, slope.sum())
             step += 1
@@ -120,20 +137,56 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(weights.astype(np.float32), float(bias))
 
 
-def calibrated(model: Model, texts: list[np.ndarray], marks: np.ndarray) -> Model:
-    """Scale and shift logits so that they fit marked texts (Platt); unchanged without both kinds."""
-    if len(np.unique(marks)) < 2:
-        return model
-    z = np.array([model.weights[t].sum() * _spread(len(t) / 2) + model.bias for t in texts])
-    x = np.column_stack([(z - z.mean()) / (z.std() + 1e-9), np.ones(len(z))])
-    w, ridge = np.array([1.0, 0.0]), np.diag([0.1, 1e-3])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        bend = np.maximum(p * (1 - p), 1e-4)
-        w = w - np.linalg.solve((x * bend[:, None]).T @ x + ridge, x.T @ (p - marks) + ridge @ w)
-    scale = w[0] / (z.std() + 1e-9)
-    shift = float(w[1] - scale * z.mean())
-    return Model((model.weights * scale).astype(np.float32), float(model.bias * scale + shift))
+def _logits(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+    return np.array([model.weights[t].sum() * _spread(len(t) / 2) + model.bias for t in texts])
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among unlabelled texts, from the logits of both.
+
+    Above any threshold the unlabelled texts number at least the prior's share of the
+    positives there; the threshold is taken where that bound is least, with a margin
+    for the size of the samples.
+    """
+    cuts = np.quantile(positive, np.linspace(0.02, 0.7, 69))
+    p = np.array([(positive >= c).mean() for c in cuts])
+    u = np.array([(unlabelled >= c).mean() for c in cuts])
+    margin = np.sqrt(np.log(10) / 2) * (1 / np.sqrt(len(unlabelled)) + 1 / np.sqrt(len(positive)))
+    best = int(np.argmin((u + margin) / p))
+    return float(np.clip(u[best] / p[best], 0.001, 0.999))
+
+
+def calibrated(model: Model, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
+    """Scale and shift logits to the least risk on texts set apart, given their logits.
+
+    For the logistic loss the risk is mean(log(1 + exp f)) over unlabelled less p times
+    mean(f) over positives, which is convex in scale and shift.
+    """
+    centre, width = unlabelled.mean(), np.concatenate([positive, unlabelled]).std() + 1e-9
+    rows = [np.column_stack([(z - centre) / width, np.ones(len(z))]) for z in (positive, unlabelled)]
+    w, ridge = np.array([1.0, float(np.log(prior / (1 - prior)))]), np.diag([1e-3, 1e-4])
+    for _ in range(100):
+        q = _sigmoid(rows[1] @ w)
+        bend = np.maximum(q * (1 - q), 1e-4)[:, None]
+        slope = (rows[1] * q[:, None]).mean(axis=0) - prior * rows[0].mean(axis=0) + ridge @ w
+        move = np.linalg.solve((rows[1] * bend).T @ rows[1] / len(unlabelled) + ridge, slope)
+        w = w - move * min(1.0, 2 / (np.abs(move).max() + 1e-9))
+    scale = w[0] / width
+    return Model((model.weights * scale).astype(np.float32), float(model.bias * scale + w[1] - scale * centre))
+
+
+def fit_and_calibrate(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> Model:
+    """A first fit gives the prior, a second one uses it; both kinds of rows set apart calibrate it."""
+    apart = [[t for k, t in enumerate(x) if k % APART == 0] for x in (positive, unlabelled)]
+    others = [[t for k, t in enumerate(x) if k % APART] for x in (positive, unlabelled)]
+    if not all(others):
+        return fit([], [], 0.5)
+    model, prior = None, FIRST_PRIOR
+    for _ in range(2):
+        model = fit(*others, prior)
+        logits = [_logits(model, x) for x in apart]
+        prior = class_prior(*logits)
+    return calibrated(model, *logits, prior)
 
 
 def held_out(column: str = "doc_id"):
@@ -149,31 +202,27 @@ def _featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"use": rows["use"], "index": packed})
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on bounded samples of the rows that are not held out."""
+def train(
+    docs: DataFrame, labels: DataFrame, *, positives: int = POSITIVES, unlabelled: int = UNLABELLED
+) -> Model:
+    """Fit on samples of at most so many rows, none of them held out.
+
+    An id is toxic if any of its labels says so; of rows that share an id the first
+    by text is used. Rows without an id are not sampled. Without positives everything scores 0.5.
+    """
     marked = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    prior = marked.agg(F.avg("toxic")).first()[0]
-    prior = min(max(prior if prior is not None else 0.5, 0.001), 0.999)
-    draw = [F.xxhash64("doc_id"), F.col("doc_id")]
-    apart = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0
-    free = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id")
-    used = [
-        (marked.where(~apart & (F.col("toxic") == 1)), POSITIVES, F.lit("positive")),
-        (free, UNLABELLED, F.lit("unlabelled")),
-        (marked.where(apart), CALIBRATING, F.concat(F.lit("mark"), F.col("toxic").cast("string"))),
-    ]
-    parts = [df.orderBy(*draw).limit(n).select("doc_id", use.alias("use")) for df, n, use in used]
-    ids = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    # At most POSITIVES + UNLABELLED + CALIBRATING ids are broadcast.
+    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic = 1").select("doc_id")
+    free = docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    known = bounded_sample(marked, positives, "toxic").withColumn("use", F.lit("positive"))
+    ids = known.unionByName(bounded_sample(free, unlabelled, "free").withColumn("use", F.lit("unlabelled")))
+    # At most positives + unlabelled ids are broadcast.
     chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids), "doc_id")
+    chosen = chosen.groupBy("doc_id", "use").agg(F.min("text").alias("text"))
     made = chosen.mapInPandas(_featurise, "use string, index binary").toPandas()
     made["key"] = [(zlib.crc32(i), len(i)) for i in made["index"]]
     made = made.sort_values(["use", "key"])  # rows arrive in any order
     arrays = {u: [np.frombuffer(i, np.int32) for i in rows["index"]] for u, rows in made.groupby("use")}
-    model = fit(arrays.get("positive", []), arrays.get("unlabelled", []), prior)
-    clean, toxic = arrays.get("mark0", []), arrays.get("mark1", [])
-    return calibrated(model, clean + toxic, np.repeat([0.0, 1.0], [len(clean), len(toxic)]))
+    return fit_and_calibrate(arrays.get("positive", []), arrays.get("unlabelled", []))
 
 
 _scores: dict[str, float] = {}
