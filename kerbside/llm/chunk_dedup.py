@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import bitmap_of, materialize, text_of
+from kerbside.llm.common import has_mark, is_marked, marked, materialize, text_of
 
 # A cut is the least of this many word starts on either side, so chunks have more words
 # than this, and 2 * REACH + 1 on average. Where no cut comes, as among equal words,
@@ -37,7 +37,7 @@ MAX_WORDS = 32
 # repeated passage of over 50 words has as many, but for rare cases; the words of a chunk
 # that the passage shares with no other are found only up to the next cut of either text.
 RUN_WORDS = 40
-# Most bits of the bitmap of repeated digests: 16 MB.
+# Most bits of the bitmaps of repeated digests and of rows that change: 16 MB.
 MAP_BITS = 27
 # Bytes that a gear hash looks back on.
 WINDOW = 16
@@ -128,27 +128,6 @@ def _hashed_words(part: bytes) -> np.ndarray:
     return np.array([xxhash.xxh32_intdigest(w) for w in part.split()], np.uint32)
 
 
-def _marked(table: DataFrame, column: str):
-    """Broadcast bitmap of the leading bits of a written table's hashes, and how many bits they are."""
-    bits = min(max(15, (32 * table.count()).bit_length()), MAP_BITS)
-    marks = table.select(F.shiftrightunsigned(column, 64 - bits).alias("mark"))
-    return table.sparkSession.sparkContext.broadcast(bitmap_of(marks, bits)), bits
-
-
-def _is_marked(hashes: np.ndarray, bitmap, map_bits: int) -> np.ndarray:
-    bits = np.frombuffer(bitmap.value, np.uint8)
-    mark = hashes.astype(np.int64).view(np.uint64) >> np.uint64(64 - map_bits)
-    return (bits[(mark >> np.uint64(3)).astype(np.int64)] >> (mark & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _may_have(bitmap, map_bits: int):
-    @F.pandas_udf("boolean")
-    def may_have(keys: pd.Series) -> pd.Series:
-        return pd.Series(_is_marked(keys.to_numpy(), bitmap, map_bits))
-
-    return may_have
-
-
 def _repeated(bitmap, map_bits: int):
     """Chunks that the bitmap lets pass, with the hashed words of the chunks beside them."""
     kind = "array<struct<place:int, hi:long, lo:long, words:int, left:binary, right:binary>>"
@@ -158,7 +137,7 @@ def _repeated(bitmap, map_bits: int):
         out = []
         for text in texts:
             found, parts, counts = chunk_digests(_raw(text))
-            known = _is_marked(found[:, 0], bitmap, map_bits)
+            known = has_mark(found[:, 0], bitmap, map_bits)
             words: dict[int, bytes] = {}
 
             def beside(k: int, parts=parts, words=words) -> bytes:
@@ -196,7 +175,7 @@ def repeated_runs(docs: DataFrame, *, run_words: int = RUN_WORDS) -> DataFrame:
     half = docs.select(F.explode(_halves()(text)).alias("hi"))
     often = half.groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
     often = materialize(often, "chunks-often")
-    bitmap, map_bits = _marked(often, "hi")
+    bitmap, map_bits = marked(often, "hi", MAP_BITS)
     made = docs.select("doc_id", _row_key().alias("row"), F.explode(_repeated(bitmap, map_bits)(text)).alias("c"))
     chunks = materialize(made.select("doc_id", "row", "c.*"), "chunks-repeated")
     spot = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place")
@@ -300,9 +279,9 @@ def remove_repeats(docs: DataFrame, *, run_words: int = RUN_WORDS) -> DataFrame:
     spans = spans.select(F.col("row").alias("chunks__row"), F.col("spans").alias("chunks__spans"))
     spans = materialize(spans, "chunks-spans")
     # Rows without spans, but for a few that the bitmap lets pass, are not shuffled.
-    bitmap, map_bits = _marked(spans, "chunks__row")
+    bitmap, map_bits = marked(spans, "chunks__row", MAP_BITS)
     rows = docs.select("*", _row_key().alias("chunks__row"))
-    may_have = _may_have(bitmap, map_bits)(F.col("chunks__row"))
+    may_have = is_marked(bitmap, map_bits)(F.col("chunks__row"))
     others = rows.where(~may_have).withColumn("chunks__spans", F.lit(None).cast("array<int>"))
     rows = rows.where(may_have).join(spans, "chunks__row", "left").unionByName(others)
     changed = F.col("chunks__spans").isNotNull()

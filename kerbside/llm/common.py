@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,18 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+# Intermediate tables of this driver, oldest first.
+WRITTEN: list[str] = []
+
+
+def drop_written(spark: SparkSession, upto: int) -> None:
+    """Delete the first ``upto`` intermediate tables, once all that reads them is written."""
+    paths, WRITTEN[:upto] = WRITTEN[:upto], []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
@@ -45,6 +59,7 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    WRITTEN.append(path)
     (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -90,6 +105,36 @@ def bitmap_of(marks: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
+MAP_BITS = 27
+
+
+def marked(table: DataFrame, column: str, most_bits: int = MAP_BITS):
+    """Broadcast bitmap of the leading bits of a written table's 64-bit hashes, and how many bits.
+
+    The bitmap has about 32 bits per row, up to a fixed size: it never misses a hash,
+    and beyond that size it lets more others pass.
+    """
+    bits = min(max(15, (32 * table.count()).bit_length()), most_bits)
+    marks = table.select(F.shiftrightunsigned(column, 64 - bits).alias("mark"))
+    return table.sparkSession.sparkContext.broadcast(bitmap_of(marks, bits)), bits
+
+
+def has_mark(hashes: np.ndarray, bitmap, map_bits: int) -> np.ndarray:
+    bits = np.frombuffer(bitmap.value, np.uint8)
+    mark = hashes.astype(np.int64).view(np.uint64) >> np.uint64(64 - map_bits)
+    return (bits[(mark >> np.uint64(3)).astype(np.int64)] >> (mark & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def is_marked(bitmap, map_bits: int):
+    """A function of a column of hashes: whether the bitmap lets them pass."""
+
+    @F.pandas_udf("boolean")
+    def known(hashes: pd.Series) -> pd.Series:
+        return pd.Series(has_mark(hashes.to_numpy(), bitmap, map_bits))
+
+    return known
+
+
 def bounded_sample(ids: DataFrame, n: int, salt: str = "") -> DataFrame:
     """At most ``n`` rows of ``doc_id``, those of the least hashes, the same on every run.
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import materialize, shuffle_partitions, text_of
+from kerbside.llm.common import is_marked, marked, materialize, shuffle_partitions, text_of
 
 MAX_BITS = 4
 BLOCKS, TAKE = 3, 1
@@ -316,6 +316,11 @@ def one_of_each(docs: DataFrame, *, blocks: int = BLOCKS, take: int = TAKE) -> D
     groups = groups.select(F.col("doc_id").alias(row), "component_id")
     groups = materialize(groups.join(rows.select(row, "doc_id"), row), "simhash-members")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)
-    kept = groups.groupBy("component_id").agg(F.min(order).alias("first"))
-    kept = materialize(kept.select(F.col(f"first.{row}").alias(row)), "simhash-kept")
-    return rows.join(kept, row, "left_semi").select(*docs.columns)
+    first = groups.groupBy("component_id").agg(F.min(order).alias("first"))
+    first = materialize(first.select("component_id", F.col(f"first.{row}").alias("first")), "simhash-first")
+    gone = groups.join(first, "component_id").where(F.col(row) != F.col("first"))
+    gone = materialize(gone.select(row, F.xxhash64(row).alias("hash")), "simhash-gone")
+    # Only rows that the bitmap cannot tell to stay are shuffled with their texts.
+    may_go = is_marked(*marked(gone, "hash"))(F.xxhash64(row))
+    kept = rows.where(may_go).join(gone, row, "left_anti").unionByName(rows.where(~may_go))
+    return kept.select(*docs.columns)
