@@ -154,25 +154,32 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _WORDS = "part int, number long, lang string, word string, f long, block long, place int"
 
 
-def _number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of their word: the words of this task are numbered, only a word's first row spells it."""
-    part, last, count = TaskContext.get().partitionId(), None, 0
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        new = np.ones(n, bool)
-        new[1:] = False
-        for column in (batch.column("lang"), batch.column("word")):
-            new[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-        ends = [(batch.column("lang")[k].as_py(), batch.column("word")[k].as_py()) for k in (0, n - 1)]
-        new[0] = ends[0] != last
-        numbers = count - 1 + np.cumsum(new)
-        last, count = ends[1], int(numbers[-1]) + 1
-        word = pc.if_else(pa.array(new), batch.column("word"), None)
-        columns = [pa.array(np.full(n, part, np.int32)), pa.array(numbers), batch.column("lang"), word]
-        columns += [batch.column(c) for c in ("f", "block", "place")]
-        yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _WORDS.split(", ")])
+def _number_words(min_count: int):
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order of their word: the frequent words of this task are numbered, others get -1.
+
+        Only a word's first row spells it.
+        """
+        part, last, count = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for column in (batch.column("lang"), batch.column("word")):
+                new[1:] |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            ends = [(batch.column("lang")[k].as_py(), batch.column("word")[k].as_py()) for k in (0, n - 1)]
+            new[0] = ends[0] != last
+            often = batch.column("f").to_numpy() >= min_count
+            new &= often
+            numbers = count - 1 + np.cumsum(new)
+            last, count = ends[1], int(numbers[-1]) + 1
+            word = pc.if_else(pa.array(new), batch.column("word"), None)
+            columns = [pa.array(np.full(n, part, np.int32)), pa.array(np.where(often, numbers, -1)), batch.column("lang"), word]
+            columns += [batch.column(c) for c in ("f", "block", "place")]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _WORDS.split(", ")])
+
+    return number
 
 
 # --- counting ----------------------------------------------------------------
@@ -291,15 +298,13 @@ def phrase_counts(
     ).select("block", "lang", (F.col("place") + 1).alias("place"), F.col("entry.words").alias("word"), "entry.counts")
     # One shuffle both counts a word and gives its rows, one per block, the word's number.
     f = F.sum("counts").over(Window.partitionBy("lang", "word"))
-    often = own.withColumn("f", f).where(F.col("f") >= min_count)
-    often = often.select("lang", "word", "f", "block", "place").mapInArrow(_number_words, _WORDS)
+    often = own.withColumn("f", f).select("lang", "word", "f", "block", "place")
+    often = often.mapInArrow(_number_words(min_count), _WORDS).where("number >= 0")
     often = materialize(often, "phrases-words")
-    n_words, before = 0, []
-    for part, n in sorted(map(tuple, often.groupBy("part").agg(F.max("number") + 1).collect())):
-        before.append((part, n_words))
-        n_words += n
-    often = often.join(spark.createDataFrame(before, "part int, before long"), "part")
-    often = often.withColumn("id", F.col("before") + F.col("number"))
+    numbered = dict(map(tuple, often.groupBy("part").agg(F.max("number") + 1).collect()))
+    before = np.cumsum([0, *(numbered.get(part, 0) for part in range(max(numbered, default=0) + 1))]).tolist()
+    n_words = before[-1]
+    often = often.withColumn("id", F.get(F.lit(before), F.col("part")) + F.col("number"))
     words = often.where("word is not null").select("lang", "word", "f", (F.col("id") + 1).alias("id"))
     words = materialize(words, "phrases-ids")
     entry = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("id"))
