@@ -41,8 +41,8 @@ MARK = "▁"
 CHUNK_CHARS = 16_384
 # Chunks whose matrices one task multiplies.
 SPAN_CHUNKS = 64
-REMEMBERED = 600_000
-REMEMBERED_CHARS = 64
+REMEMBERED = 200_000
+REMEMBERED_CHARS = 32
 PART = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 Matrix = dict[tuple[int, int], float]
 START = 0
