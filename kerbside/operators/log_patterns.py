@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from kerbside.functions.matching import WILDCARD
 
 WORD = "[A-Za-z0-9_]"
+# A bitmap of key words has so many places as a power of two, two megabytes.
+MAP_BITS = 24
 _INNER = f"(?<=[^A-Za-z0-9_])({WORD}+)(?=[^A-Za-z0-9_])"
 _SPECIAL = r"([\\.\[\]{}()*+?^$|&~#\-])"
 
@@ -40,35 +42,57 @@ def pattern_regex(pattern: Column) -> Column:
 
 
 def keyed_patterns(logs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """``pattern, regex, word``: each pattern once with its rarest sure word, or an empty one.
-
-    Only words that some pattern has are counted in the lines.
-    """
+    """``pattern, regex, word``: each pattern once with its rarest sure word, or an empty one."""
     table = patterns.select("pattern").where("pattern is not null").distinct()
-    table = table.withColumns({"regex": pattern_regex(F.col("pattern")), "words": sure_words(F.col("pattern"))})
-    each = table.select("pattern", F.explode("words").alias("word"))
+    each = table.select("pattern", F.explode_outer(sure_words(F.col("pattern"))).alias("word"))
     lines = logs.select(F.explode(_words(F.col("line"))).alias("word"))
-    counted = lines.join(each.select("word").distinct(), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counted = lines.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("key")
-    chosen = each.join(counted, "word", "left").groupBy("pattern").agg(rarest)
-    keyed = table.drop("words").join(chosen, "pattern", "left")
-    return keyed.select("pattern", "regex", F.coalesce("key.word", F.lit("")).alias("word"))
+    keyed = _by_shuffle(each, counted, "word", "left").groupBy("pattern").agg(rarest)
+    word = F.coalesce("key.word", F.lit("")).alias("word")
+    return keyed.select("pattern", pattern_regex(F.col("pattern")).alias("regex"), word)
 
 
 def _words(line: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(line, F.lit(f"({WORD}+)"), F.lit(1)))
 
 
+def _by_shuffle(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join that sends no side through the driver.
+
+    The planner takes exploded rows to be as few as the rows that they come from, and
+    would broadcast all words of all lines.
+    """
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
+def _place(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(1 << MAP_BITS))
+
+
+def _may_be_in(words: DataFrame, word: Column) -> Column:
+    """Whether ``word`` may be one of a table: a bitmap of fixed size, which never misses one."""
+    slots = words.select(_place(F.col("word")).alias("place")).groupBy(F.shiftright("place", 6).alias("slot"))
+    bits = slots.agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+    every = words.sparkSession.range(1 << (MAP_BITS - 6)).withColumnRenamed("id", "slot")
+    every = every.join(bits, "slot", "left").select("slot", F.coalesce("bits", F.lit(0)).alias("bits"))
+    found = every.agg(F.sort_array(F.collect_list(F.struct("slot", "bits")))["bits"]).scalar()
+    at = _place(word)
+    return F.getbit(F.get(found, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def pattern_matches(logs: DataFrame, patterns: DataFrame) -> DataFrame:
     """The rows of ``logs`` once for every ``pattern`` of the table that they fit.
 
     ``patterns`` has a column ``pattern``, in which ``<_>`` spans any text; equal
-    ones count once. Rows without a line fit none.
+    ones count once. Rows without a line fit none. Only words that may be a
+    pattern's key are shuffled with their lines.
     """
     keyed = keyed_patterns(logs, patterns)
     every = F.concat(_words(F.col("line")), F.array(F.lit("")))
     rows = logs.where("line is not null").withColumn("word", F.explode(every))
-    return rows.join(keyed, "word").where(F.rlike("line", F.col("regex"))).drop("word", "regex")
+    rows = rows.where(_may_be_in(keyed, F.col("word")))
+    return _by_shuffle(rows, keyed, "word").where(F.rlike("line", F.col("regex"))).drop("word", "regex")
 
 
 def pattern_series_of(logs: DataFrame, patterns: DataFrame, step: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Parsed bodies, pattern tables, and the detail table with merged parts."""
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -78,6 +79,17 @@ def test_a_pattern_table_equals_one_expression_per_pattern(spark):
     assert rows_of(series) == rows_of(log_counts.pattern_series(logs, ["err"], "1 hour"))
 
 
+def test_no_lines_or_words_of_lines_go_through_the_driver(spark, capsys):
+    """A small file is no measure of the rows that its lines are exploded to."""
+    logs = views.logfmt_logs(views.events(spark, "/root/testdata/sf0.001"))
+    table = logs.select(F.concat(F.lit(' user="u '), F.col("id"), F.lit('"')).alias("pattern"))
+    log_patterns.pattern_matches(logs, table).explain("formatted")
+    parts = capsys.readouterr().out.split("\n\n")
+    sent = [part for part in parts if re.match(r"\s*\(\d+\) BroadcastExchange", part)]
+    assert len(parts) > 20
+    assert not any(name in part for part in sent for name in ("line#", "word#", "pattern#"))
+
+
 def test_detail_table_of_merged_batches(spark, tmp_path):
     folder = f"file://{tmp_path}"
     rows = views.passages_at_source(views.events(spark, "/root/testdata/sf0.001"))
