@@ -72,20 +72,29 @@ def _sample(k: int) -> tuple[Column, Column]:
     return F.ln(c) - r * (t - b + 1.0), F.xxhash64("term", t)
 
 
-def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``signature``: one array of samples per row with a word in ``text``.
-
-    ``keys`` must tell the rows apart. Rows without a word are left out.
-    """
+def _terms(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per distinct word of a text, with the logarithm of its count; one of nulls without any."""
     ordered = texts.select(*keys, sorted_terms(F.col("text")).alias("ordered"))
     starts = ordered.select(*keys, "ordered", _runs(F.col("ordered")).alias("starts"))
-    terms = starts.select(*keys, F.inline(_weighted(F.col("ordered"), F.col("starts"))))
-    terms = terms.select(*keys, "term", F.ln("weight").alias("log_weight"))
+    terms = starts.select(*keys, F.inline_outer(_weighted(F.col("ordered"), F.col("starts"))))
+    return terms.select(*keys, "term", F.ln("weight").alias("log_weight"))
+
+
+def _drawn(terms: DataFrame, keys: list[str], samples: int) -> DataFrame:
     drawn = [_sample(k) for k in range(samples)]
     best = terms.groupBy(*keys).agg(
         *[F.min_by(value, key).alias(f"s{k}") for k, (key, value) in enumerate(drawn)]
     )
-    return best.select(*keys, F.array(*[f"s{k}" for k in range(samples)]).alias("signature"))
+    found = [F.coalesce(f"s{k}", F.lit(NO_SAMPLE).cast("long")) for k in range(samples)]
+    return best.select(*keys, F.array(*found).alias("signature"))
+
+
+def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and ``signature``: one array of samples per row with a word in ``text``.
+
+    ``keys`` must tell the rows apart. Rows without a word are left out.
+    """
+    return _drawn(_terms(texts, keys).where("term is not null"), keys, samples)
 
 
 def fingerprint_text(signature: Column) -> Column:
@@ -178,28 +187,28 @@ def fingerprint_documents(
             F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")),
         )
     )
-    found = signatures(edited.select("block", "place", both), ["block", "place", "kind"], samples)
-    by_kind = found.groupBy("block", "place").agg(
+    # Everything about a row is taken from its text in one pass, so texts are shuffled once.
+    facts = ["block", "place", "doc_id", "next_block", "next_place", "n_chars", "sha256"]
+    texts = edited.withColumns(
+        {
+            "n_chars": F.char_length("text").cast("long"),
+            "sha256": F.unhex(F.sha2(F.col("edited").cast("binary"), 256)),
+        }
+    ).select(*facts, both)
+    found = _drawn(_terms(texts, [*facts, "kind"]), [*facts, "kind"], samples)
+    rows = found.groupBy(*facts).agg(
         *[F.max(F.when(F.col("kind") == k, F.col("signature"))).alias(f"sig{k}") for k in (0, 1)]
     )
     # Few bytes a row, and read twice below: for the row itself and for the one before it.
-    by_kind = materialize(by_kind, "fingerprints")
-    none = F.array_repeat(F.lit(NO_SAMPLE).cast("long"), samples)
-    facts = edited.select(
-        "doc_id", "block", "place", "next_block", "next_place",
-        F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-    ).join(by_kind, ["block", "place"], "left")
-    facts = facts.withColumns({k: F.coalesce(F.col(k), none) for k in ("sig0", "sig1")})
-    after = by_kind.select(
+    rows = materialize(rows, "fingerprints")
+    after = rows.select(
         F.col("block").alias("next_block"),
         F.col("place").alias("next_place"),
         F.col("sig0").alias("next_sig"),
     )
-    facts = facts.join(after, ["next_block", "next_place"], "left")
-    facts = facts.withColumn("next_sig", F.coalesce("next_sig", none))
-    return facts.select(
-        "doc_id", "n_chars", "edited_sha256",
+    rows = rows.join(after, ["next_block", "next_place"], "left")
+    return rows.select(
+        "doc_id", "n_chars", F.lower(F.hex("sha256")).alias("edited_sha256"),
         fingerprint_text(F.col("sig0")).alias("fingerprint"),
         fingerprint_text(F.col("sig1")).alias("edited_fingerprint"),
         likeness(F.col("sig0"), F.col("sig1"), samples).alias("near_edited"),

@@ -111,6 +111,13 @@ def test_fingerprints_of_awkward_tables(spark, documents, nothing):
     assert one[0].near_next == 1.0
 
 
+def test_texts_are_shuffled_once(documents, capsys):
+    """All that is read after the one written pass is that pass's table, not the documents again."""
+    weighted_sampling.fingerprint_documents(documents).explain()
+    plan = capsys.readouterr().out
+    assert "FileScan parquet" in plan and "Scan ExistingRDD" not in plan
+
+
 def test_collision_rate_is_generalised_jaccard(spark):
     a, b = Counter(x=9, y=4, z=1, v=6), Counter(x=3, y=8, w=5, v=6)
     rows = [(k, " ".join(f"{w}{n}" for w, c in t.items() for _ in range(c))) for n in range(40) for k, t in ((2 * n, a), (2 * n + 1, b))]
